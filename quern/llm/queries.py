@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe
+from quern.llm import audio, bpe, packing, quality_rules, site_lines
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = site_lines.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.digests(table(spark, sf_dir, "documents"))
 
@@ -23,8 +38,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_packing": op3_packing,
+    "op6_site_lines": op6_site_lines,
     "op7_media_columns": op7_media_columns,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op6_site_lines": site_lines.ORACLE,
+}
