@@ -13,6 +13,8 @@ from quern.llm.common import durable, join_small, words
 ALPHA, DELTA = 0.02, 0.05
 #: Cutoffs in the order in which they are tested, the most lenient first; fixed, so that every labelled row is holdout.
 LADDER = tuple(round(1 - 0.05 * i, 2) for i in range(1, 20)) + (0.03, 0.02, 0.01)
+#: Up to so many repeated windows are looked up one by one; the result is the same either way.
+FEW = 64
 RULES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "shout_ratio")
 
 
@@ -25,13 +27,18 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     triples = lambda w, n: F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
     out = out.select("doc_id", "stratum", "w", "n_symbols", "n_shouts", F.size("w").alias("n"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"), F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
     out = out.withColumn("hashes", F.when(col("n") >= 3, triples(col("w"), col("n"))))
-    # Only texts in which a window repeats pay for sorting windows with their places.
+    # Only texts in which a window repeats go on; where few windows do, a look-up finds their places, else a sort does.
     some = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    out = out.withColumn("sorted", F.when(some, F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    out = out.drop("w").withColumn("in_order", F.when(some, F.sort_array("hashes")))
+    v = col("in_order")
+    out = out.withColumn("twice", F.array_distinct(F.transform(F.filter(F.sequence(F.lit(1), F.size(v) - 1), lambda k: F.get(v, k) == F.get(v, k - 1)), lambda k: F.get(v, k)))).drop("in_order")
+    few, many = col("twice").isNotNull() & (F.size("twice") <= FEW), col("twice").isNotNull() & (F.size("twice") > FEW)
+    out = out.withColumn("sorted", F.when(many, F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     p = col("sorted")
     same = lambda k, j: F.coalesce(F.get(p, k)["h"] == F.get(p, j)["h"], F.lit(False))
-    starts = F.transform(F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda k: same(k, k + 1) | same(k, k - 1)), lambda k: F.get(p, k)["i"])
-    out = out.drop("w", "hashes").withColumn("starts", F.when(p.isNotNull(), F.sort_array(starts))).drop("sorted")
+    looked_up = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: F.array_contains("twice", F.get("hashes", i)))
+    by_sort = F.sort_array(F.transform(F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda k: same(k, k + 1) | same(k, k - 1)), lambda k: F.get(p, k)["i"]))
+    out = out.withColumn("starts", F.when(many, by_sort).when(few, looked_up)).drop("sorted", "hashes", "twice")
     s = col("starts")
     covered = F.aggregate(F.sequence(F.lit(0), F.size(s) - 1), F.lit(0).cast("long"), lambda a, k: a + F.coalesce(F.least(F.get(s, k + 1) - F.get(s, k), F.lit(3)), F.lit(3)))
     out = out.withColumn("n_words", col("n").cast("long")).withColumn("n_repeat_words", F.when(s.isNotNull(), covered).otherwise(F.lit(0).cast("long")))
