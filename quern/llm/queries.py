@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, packing, quality_rules, site_lines
+from quern.llm import audio, bpe, packing, pii, quality_rules, site_lines
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
@@ -20,6 +20,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.spans(docs, pii.fit(docs))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op6_site_lines": op6_site_lines,
     "op7_media_columns": op7_media_columns,
