@@ -18,9 +18,10 @@ from quern.llm.common import arrow_map, slices
 #: Pieces up to so many bytes are merged directly; longer ones are halved.
 LEAF = 16
 #: Encoded pieces that a worker remembers before it starts anew; this bounds memory and changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 #: Tokens that are joined directly when decoding; longer lists are halved.
 DECODE_LEAF = 4096
+NO_RANK = 1 << 30
 
 
 class Encoder(dict):
@@ -35,7 +36,7 @@ class Encoder(dict):
         super().__init__()
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.vocab = [b""] * (max(self.ranks.values()) + 1)
+        self.vocab = np.full(max(self.ranks.values()) + 1, b"", dtype=object)
         for token, rank in self.ranks.items():
             self.vocab[rank] = token
         self.split, self.leaf, self.pairs = regex.compile(pattern).findall, leaf, {}
@@ -43,12 +44,15 @@ class Encoder(dict):
     def merge(self, piece: bytes) -> list[int]:
         """Tokens of a short piece: the leftmost pair of the lowest rank is merged until no pair has a rank."""
         parts, rank = [piece[i : i + 1] for i in range(len(piece))], self.ranks.get
-        while len(parts) > 1:
-            found = [(r, i) for i in range(len(parts) - 1) if (r := rank(parts[i] + parts[i + 1])) is not None]
-            if not found:
-                break
-            at = min(found)[1]
+        pairs = [rank(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+        while pairs and (least := min(pairs)) != NO_RANK:
+            at = pairs.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], NO_RANK)
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1], NO_RANK)
         return [self.ranks[p] for p in parts]
 
     def holds(self, left: int, right: int) -> bool:
@@ -87,9 +91,9 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.split(text)))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) <= DECODE_LEAF:
-            return b"".join(map(self.vocab.__getitem__, ids))
+            return b"".join(self.vocab[ids])
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
@@ -126,7 +130,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 ids = own.encode(text or "")
                 counts.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(own.decode(np.frombuffer(ids, "<u4").tolist())).hexdigest())
+                text_sha.append(hashlib.sha256(own.decode(np.frombuffer(ids, "<u4"))).hexdigest())
             yield {"doc_id": part.column(0), "n_tokens": counts, "ids_sha256": ids_sha, "decoded_sha256": text_sha}
 
     kind = docs.schema[id_col].dataType.simpleString()
