@@ -59,19 +59,23 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """df through step, an Arrow batch at a time; step yields dicts of equally long lists or arrays by column of schema."""
+def arrow_map_all(df: DataFrame, steps: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+    """df through steps, a task's Arrow batches at a time; steps yields dicts of equally long lists or arrays by column of schema."""
     ship(df.sparkSession)
     out = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for columns in step(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in out], schema=out)
+        for columns in steps(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 
 
+def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
+    """df through step, which takes one Arrow batch."""
+    return arrow_map_all(df, lambda batches: (columns for batch in batches for columns in step(batch)), schema)
+
+
 def slices(batch: pa.RecordBatch, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about limit bytes at most (a single row may be larger)."""
     if not batch.num_rows:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, packing, pii, quality_rules, site_lines, toxicity
+from quern.llm import audio, bpe, ngram_quality, packing, pii, quality_rules, site_lines, toxicity
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
@@ -33,6 +33,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_text=False)
+    return out.select("doc_id", "lang", F.col("__n_chars").alias("n_chars"), F.exp("__log_ppl").alias("perplexity"), F.exp("__limit").alias("max_perplexity"), F.col("__kept").alias("kept"))
+
+
 def op6_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = site_lines.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_perplexity": op5_perplexity,
     "op6_site_lines": op6_site_lines,
     "op7_media_columns": op7_media_columns,
     "op9_byte_bpe": op9_byte_bpe,
