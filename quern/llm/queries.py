@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, ngram_quality, packing, pii, quality_rules, site_lines, toxicity
+from quern.llm import audio, bpe, ngram_quality, packing, parity_join, pii, quality_rules, site_lines, toxicity
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
@@ -51,6 +51,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_site_lines": op6_site_lines,
     "op7_media_columns": op7_media_columns,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_parity_join": op10_parity_join,
 }
 
 ORACLE: dict[str, str] = {
