@@ -51,10 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def unique_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}-{name}"
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and the files outlive any executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}-{name}"
+    path = unique_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
