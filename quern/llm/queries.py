@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, ngram_quality, packing, parity_join, pii, quality_rules, site_lines, toxicity
+from quern.llm import audio, bpe, ngram_quality, packing, parity_join, pii, quality_rules, site_lines, substring, toxicity
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
@@ -47,6 +47,10 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.strip(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS)
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_perplexity": op5_perplexity,
     "op6_site_lines": op6_site_lines,
     "op7_media_columns": op7_media_columns,
+    "op8_fm_index": op8_fm_index,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_parity_join": op10_parity_join,
 }
