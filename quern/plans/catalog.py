@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import hashing, jsons, text
 from quern.operators import conversations as conv
-from quern.operators import duplicates, numbering, reporting, series, state
+from quern.operators import duplicates, numbering, quality, reporting, series, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -351,3 +351,27 @@ def room_booking(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "events").select(F.col("event_id").alias("request"), room.alias("room_id"), day.alias("date"), F.date_format("ts", "HH:mm").alias("start_time"), end.alias("end_time"), (F.pmod("event_id", F.lit(9)) + 1).cast("int").alias("attendee_count"), F.lit(True).alias("confirmed"))
     rooms = spark.createDataFrame([(f"room_{i}", 2 + i) for i in range(6)], "room_id string, capacity int")
     return state.book(asked, rooms)
+
+
+@query(f"""WITH a AS (SELECT doc_id AS id, quality = 1 AS p1, toxic = 0 AS p2, quality <> 1 OR {_SHARE.format("doc_id")} < 0.1 AS asked FROM labels)
+SELECT id, asked AS escalated, CASE WHEN asked AND NOT p2 THEN 'failed' WHEN p1 THEN 'passed' ELSE 'not_run' END AS status FROM a""")
+def judge_escalation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as two judges: quality first, toxicity for what fails or is sampled."""
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
+    first, second = labels.select("id", (F.col("quality") == 1).alias("passes")), labels.select("id", (F.col("toxic") == 0).alias("passes"))
+    return quality.judged(labels, first, second, 0.1, True)
+
+
+@query("SELECT event_id, 'k:' || CASE json_type(props, '$.k') WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number' ELSE 'other' END AS signature FROM events")
+def argument_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", quality.argument_signature(F.col("props")).alias("signature"))
+
+
+@query("""WITH m AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY ALL), days AS (SELECT DISTINCT d FROM m ORDER BY d LIMIT 5), codes AS (SELECT DISTINCT p FROM m)
+SELECT p AS o_orderpriority, d AS day, CAST(v AS DOUBLE) AS value, CASE WHEN v IS NULL THEN 'lookup_error' ELSE 'found' END AS status FROM codes CROSS JOIN days LEFT JOIN m USING (p, d)""")
+def compare_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five days by each priority, with what was ordered; five days a key is the query's own limit."""
+    daily = table(spark, sf_dir, "orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value"))
+    days = daily.select("day").distinct().orderBy("day").limit(5).agg(F.collect_list("day").alias("days"))
+    asked = daily.select("o_orderpriority").distinct().join(F.broadcast(days)).select("o_orderpriority", F.explode("days").alias("day"))
+    return series.looked_up(asked, daily, ["o_orderpriority", "day"]).select("o_orderpriority", "day", "value", "status")
