@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quern.sources.tables import durable, shared_dir, unique_path  # noqa: F401  shared with the modules here
+
 #: Separators of words in every operator here: space and the five ASCII controls from tab to carriage return.
 SEPARATORS = r"[\x20\x09-\x0D]+"
 #: Rows of a side that is broadcast without being asked for; past it the join is salted.
@@ -40,29 +41,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where nothing is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="quern-checkpoint-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def unique_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}-{name}"
-
-
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: lineage ends here, and the files outlive any executor."""
-    spark = df.sparkSession
-    path = unique_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def arrow_map_all(df: DataFrame, steps: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """df through steps, a task's Arrow batches at a time; steps yields dicts of equally long lists or arrays by column of schema."""
     ship(df.sparkSession)
