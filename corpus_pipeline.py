@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import ngram_quality, packing, parity_join, pii, site_lines
+from quern.llm import packing, parity_join, pii, site_lines, word_perplexity
 from quern.llm.common import table, unique_path
 
 #: Words of a shingle and least similarity of near duplicates here.
@@ -20,7 +20,7 @@ SHINGLE, NUM, DEN = 5, 80, 100
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose perplexity is within their language's limit; labels come from sf_dir."""
-    return ngram_quality.judge(docs, table(spark, sf_dir, "labels")).where("__kept").select(*docs.columns)
+    return word_perplexity.judge(docs, table(spark, sf_dir, "labels")).where("__kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

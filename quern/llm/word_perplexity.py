@@ -1,0 +1,220 @@
+"""Quality by perplexity: an interpolated modified Kneser-Ney model of word triples, counted over all trusted text and kept a table.
+
+The log probability of a text is a sum over its n-grams: backing off from (u, v, w) to (v, w) to w gives
+log P(w) + B(v) + B(u, v), where an n-gram that is seen adds what it changes. So each n-gram has one value, an unseen
+one 0, and a single join of the documents' n-grams with the table, in as many shards as there are, gives all sums.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from quern.llm.common import durable, join_small, ship, slices
+from quern.llm.ngram_quality import limit, limits
+
+#: Words as they are written, single signs, line ends, and single characters of scripts that don't part words.
+TOKEN = re.compile(r"[฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]|[^\W฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]+|[^\w\s]|\n")
+#: Memory of a worker for hashes of words; it changes no result.
+REMEMBERED = 400_000
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+class Hashes(dict):
+    """64-bit hashes of words; a worker keeps what it has seen."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        out = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+        return out
+
+
+START, END = 1, 2  # hashes of no word, but by chance
+
+
+def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs."""
+    x = a * _A + b
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * _B
+    return x ^ (x >> np.uint64(29))
+
+
+def sequences(texts: list[str], hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, each text between two starts and an end; whose they are; and where they stand in their text."""
+    own = [[START, START, *map(hashes.__getitem__, TOKEN.findall(x)), END] for x in texts]
+    sizes = np.array([len(x) for x in own], np.int64)
+    whose = np.repeat(np.arange(len(own)), sizes)
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.fromiter((h for x in own for h in x), np.uint64, int(sizes.sum())), whose, place
+
+
+def once(part: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
+    """Distinct texts (column 0) of a batch and their keys (column 1); texts without a character are left out."""
+    found = {x: k for x, k in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if x}
+    return list(found), np.array(list(found.values()), np.int64)
+
+
+def keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+
+
+def arrow(df: DataFrame, step, schema: str) -> DataFrame:
+    """df through step, which makes Arrow columns of slices; as arrow_map, but lists are passed as Arrow arrays."""
+    ship(df.sparkSession)
+    out = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            for part in slices(batch, 8 << 20):
+                columns = step(part, hashes, out)
+                if columns is not None:
+                    table = pa.Table.from_arrays(columns, schema=out)
+                    yield from table.to_batches(max_chunksize=100_000)
+
+    return df.mapInArrow(run, schema)
+
+
+def count_triples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(gram, context, suffix, v, w, n, lo, hi): triples of all texts, the hashes of their parts, and the least and largest key of a text with them."""
+
+    def step(part: pa.RecordBatch, hashes: Hashes, out: pa.Schema):
+        texts, keys = once(part)
+        if not texts:
+            return None
+        # Copies count once in a slice as a text does, then as often as they come up: n follows the rows.
+        times = {}
+        for x in part.column(0).to_pylist():
+            times[x] = times.get(x, 0) + 1
+        weight = np.array([times[x] for x in texts], np.int64)
+        h, whose, place = sequences(texts, hashes)
+        pair = mix(h[:-1], h[1:])  # of i and i + 1
+        at = np.nonzero(place[2:] >= 2)[0] + 2  # last words of triples
+        gram = mix(pair[at - 2], h[at])
+        order = np.argsort(gram, kind="stable")
+        gram, at = gram[order], at[order]
+        first = np.nonzero(np.append(True, gram[1:] != gram[:-1]))[0]
+        key = keys[whose[at]]
+        i = at[first]
+        columns = (gram[first], pair[i - 2], pair[i - 1], h[i - 1], h[i])
+        return [*(pa.array(c.view(np.int64)) for c in columns), *(pa.array(f.reduceat(c, first)) for f, c in ((np.add, weight[whose[at]]), (np.minimum, key), (np.maximum, key)))]
+
+    found = arrow(keyed(docs, text_col), step, "gram long, context long, suffix long, v long, w long, n long, lo long, hi long")
+    least = [F.min(c).alias(c) for c in ("context", "suffix", "v", "w", "lo")]
+    return found.groupBy("gram").agg(F.sum("n").alias("n"), F.max("hi").alias("hi"), *least)
+
+
+def discounts(level: DataFrame):
+    """The discount of a count, from the counts of counts."""
+    c = {r["n"]: r["count"] for r in level.where("n <= 4").groupBy("n").count().collect()}  # four rows at most
+    n1, n2, n3, n4 = (c.get(i, 0) for i in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    d1, d2, d3 = (min(max(i - (i + 1) * y * b / a, 0.1), i - 0.1) if a and b else 0.5 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
+    return lambda n: F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, float]:
+    """(gram, value, only) of all documents that a label calls good (quality 1), and the log probability of an unseen word.
+
+    only is the key of the text if no other trusted text has the n-gram, else null.
+    """
+    trusted = labels.where("quality = 1").select(F.col("doc_id").alias(id_col)).distinct()
+    good = docs.select(id_col, text_col).join(trusted.hint("shuffle_hash"), id_col, "left_semi")
+    three = durable(count_triples(good, text_col), "triples")
+    ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
+    two = durable(three.groupBy(F.col("suffix").alias("gram")).agg(F.count("*").alias("n"), F.min("v").alias("context"), F.min("w").alias("suffix"), *ends), "pairs")
+    one = durable(two.groupBy(F.col("suffix").alias("gram")).agg(F.count("*").alias("n"), *ends), "words")
+    cut = discounts(one)
+    sums = one.agg(F.sum("n").alias("total"), F.sum(cut(F.col("n"))).alias("left"), F.count("*").alias("words")).first()
+    if not sums["words"]:
+        return one.select("gram", F.lit(0.0).alias("value"), F.col("lo").alias("only")), 0.0
+    unseen = sums["left"] / sums["total"] / (sums["words"] + 1)
+    p = one.select("gram", ((F.col("n") - cut(F.col("n"))) / sums["total"] + unseen).alias("p"), "lo", "hi")
+    parts = [p.select("gram", (F.log("p") - np.log(unseen)).alias("value"), "lo", "hi")]
+    for level, name in ((two, "pair-shares"), (three, "triple-shares")):
+        cut = discounts(level)
+        contexts = level.groupBy("context").agg(F.sum("n").alias("total"), F.sum(cut(F.col("n"))).alias("left"), *ends)
+        parts.append(contexts.select(F.col("context").alias("gram"), F.log(F.col("left") / F.col("total")).alias("value"), "lo", "hi"))
+        met = level.join(contexts.select("context", "total", "left"), "context").join(p.select(F.col("gram").alias("suffix"), F.col("p").alias("lower")), "suffix")
+        rest = F.col("left") / F.col("total") * F.col("lower")
+        p = durable(met.select("gram", ((F.col("n") - cut(F.col("n"))) / F.col("total") + rest).alias("p"), rest.alias("rest"), "lo", "hi"), name)
+        parts.append(p.select("gram", F.log(F.col("p") / F.col("rest")).alias("value"), "lo", "hi"))
+    every = parts[0]
+    for x in parts[1:]:
+        every = every.unionByName(x)
+    model = every.groupBy("gram").agg(F.sum("value").alias("value"), *ends).select("gram", "value", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only"))
+    return durable(model, "model"), float(np.log(unseen))
+
+
+def text_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(gram, keys, times, n): n-grams up to three words by slices of the texts, the texts' keys and how often each has it; n is 0, or the words of keys[0] in a row of its own."""
+
+    def step(part: pa.RecordBatch, hashes: Hashes, out: pa.Schema):
+        texts, keys = once(part)
+        if not texts:
+            return None
+        h, whose, place = sequences(texts, hashes)
+        pair = mix(h[:-1], h[1:])
+        one, three = np.nonzero(place >= 1)[0], np.nonzero(place >= 2)[0]
+        gram = np.concatenate([h[one], pair[one - 1], mix(pair[three - 2], h[three])])
+        who = np.concatenate([whose[one], whose[one], whose[three]])
+        order = np.lexsort((who, gram))
+        gram, who = gram[order], who[order]
+        new = np.append(True, gram[1:] != gram[:-1])
+        cell = np.nonzero(new | np.append(True, who[1:] != who[:-1]))[0]
+        times = np.diff(np.append(cell, len(gram)))
+        starts = np.nonzero(new[cell])[0]
+        words = np.bincount(whose[three], minlength=len(texts))
+        ends = np.arange(len(texts) + 1)
+        lists = lambda offsets, values, field: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, field.type.value_type), type=field.type)
+        offsets = np.concatenate([starts, len(cell) + ends])
+        return [
+            pa.array(np.concatenate([gram[cell[starts]].view(np.int64), keys])),
+            lists(offsets, np.concatenate([keys[who[cell]], keys]), out.field("keys")),
+            lists(offsets, np.concatenate([times, np.zeros(len(texts), np.int64)]), out.field("times")),
+            pa.array(np.concatenate([np.zeros(len(starts), np.int64), words])),
+        ]
+
+    return arrow(keyed(docs, text_col), step, "gram long, keys array<long>, times array<int>, n long")
+
+
+def surprise(docs: DataFrame, model: DataFrame, unseen: float, text_col: str = "text") -> DataFrame:
+    """(__key, __log_ppl): the mean negative log probability of a word (and of the end) of each text that has a character.
+
+    What only the text itself gave the model doesn't count for it, so trusted texts are judged as others are. A copy
+    adds to a text's sum and to its number of words alike.
+    """
+    met = text_grams(docs, text_col).join(model, "gram", "left").where("n > 0 OR value IS NOT NULL")
+    each = met.select("value", "only", "n", F.explode(F.arrays_zip("keys", "times")).alias("x"))
+    own = F.when((F.col("n") > 0) | (F.col("only") == F.col("x.keys")), 0.0).otherwise(F.col("value") * F.col("x.times"))
+    sums = each.groupBy(F.col("x.keys").alias("__key")).agg(F.sum(own).alias("s"), F.sum("n").alias("n"))
+    return sums.select("__key", (-F.col("s") / F.col("n") - F.lit(unseen)).alias("__log_ppl"))
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep_text: bool = True) -> DataFrame:
+    """docs with __n_chars, __log_ppl, __limit and __kept; without keep_text, only their id and language with these.
+
+    A row is kept if its log perplexity is at most its language's limit. Null and empty texts have no perplexity and
+    are not kept. Null languages are a language. Without trusted rows there is no limit, and every text with a
+    character is kept. Repeated rows are judged each; other columns pass through.
+    """
+    model, unseen = train(docs, labels, id_col, text_col)
+    scores = durable(surprise(docs, model, unseen, text_col), "perplexity")
+    size = F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("__n_chars")
+    small = durable(docs.select(id_col, lang_col, size, F.xxhash64(text_col).alias("__key")).join(scores, "__key", "left").drop("__key"), "judged")
+    by_lang, (mid, high) = limits(small, labels, lang_col, id_col)
+    rows = docs.select("*", size, F.xxhash64(text_col).alias("__key")).join(scores, "__key", "left").drop("__key") if keep_text else small
+    out = join_small(rows, by_lang, lang_col)
+    bound: Column = limit(F.coalesce("__mid", F.lit(mid).cast("double")), F.coalesce("__high", F.lit(high).cast("double")), F.col("__n_chars"))
+    kept = F.when(F.col("__log_ppl").isNull(), False).otherwise(F.coalesce(F.col("__log_ppl") <= F.col("__limit"), F.lit(True)))
+    return out.withColumn("__limit", bound).withColumn("__kept", kept).drop("__mid", "__high")
