@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from quern.llm import word_perplexity
+from quern.llm import pii, word_perplexity
 
 
 def test_word_salad_in_any_script_is_rejected(spark):
@@ -69,3 +69,25 @@ def test_word_perplexity_equals_plain_backing_off(spark):
             assert abs(r["__log_ppl"] - plain_log_ppl(trusted, texts[r.doc_id])) < 1e-9, r
     none = word_perplexity.judge(docs, labels.limit(0)).collect()
     assert all(r["__kept"] == bool(r.text) for r in none)
+
+
+def test_pii_without_digits_and_in_long_tokens(spark):
+    assert [c[2] for c in pii.candidates("the password: swordfish and more")] == [0]
+    assert [c[2] for c in pii.candidates("write to jane at example dot com")] == [3]
+    long = "a1" * 400
+    assert (10, 810, 0) in pii.candidates(f"password: {long} end") and (5, 805, 1) in pii.candidates(f"some {long} end")
+    assert (0, 201, 1) in pii.candidates("b" * 200 + "7 end")
+    rows = [(i, ("the password: swordfish and more", "write to jane at example dot com", f"version {i % 9}.{i % 7}.12 of the manual", f"some {'word' * 6}{i} here")[i % 4]) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.spans(docs, pii.fit(docs)).collect()}
+    assert spans[0].startswith("secret:14:") and spans[1].startswith("contact:9:") and not spans[2] and not spans[3]
+
+
+def test_pii_labels_need_evidence():
+    whole = lambda text, x: (text.index(x), text.index(x) + len(x))
+    for text, x, yes in (
+        ("to GB82 WEST 1234 5698 7654 32 now", "GB82 WEST 1234 5698 7654 32", 1), ("to GB83 WEST 1234 5698 7654 32 now", "GB83 WEST 1234 5698 7654 32", 0), ("call 555 010 7788 now", "555 010 7788", 1), ("sum 555 010 7788 now", "555 010 7788", 0),
+        ("ssn 078-05-1120", "078-05-1120", 1), ("jane at example dot com", "jane at example dot com", 1), ("look at line dot matrix", "look at line dot matrix", 0), ("password: swordfish", "swordfish", 1),
+    ):
+        for generator in (0, 3, 4, 5):
+            assert pii.label(text, *whole(text, x), generator, []) == yes, text
