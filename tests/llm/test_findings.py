@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 from quern.llm import pii, word_perplexity
+from quern.operators import duplicates
 
 
 def test_word_salad_in_any_script_is_rejected(spark):
@@ -91,3 +92,10 @@ def test_pii_labels_need_evidence():
     ):
         for generator in (0, 3, 4, 5):
             assert pii.label(text, *whole(text, x), generator, []) == yes, text
+
+
+def test_short_items_are_found_inside_longer_documents(spark):
+    items = spark.createDataFrame([(1, "Blue whale"), (2, "zebra"), (3, "a b c d"), (4, "one two three four five six"), (5, "..."), (6, "whale sings")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "there the blue, whale sang far away"), (2, "zebra"), (3, "x zebras a b c d"), (4, "so one two three four five six end"), (5, None), (6, "whale")], "doc_id long, text string")
+    got = sorted((r.item_id, r.doc_id, r.exact, r.normalized_equal) for r in duplicates.contained(items, "item_id", "text", docs, "doc_id", "text").collect())
+    assert got == [(1, 1, False, False), (2, 2, True, True), (3, 3, False, False), (4, 4, False, False)]
