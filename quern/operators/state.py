@@ -19,17 +19,27 @@ def last_values(df: DataFrame, key: str, value: str, order: list[str]) -> DataFr
 
 
 def admit(df: DataFrame, order: str, cost: str, budget: int, stretch: int) -> DataFrame:
-    """(order, cost, admitted): within each stretch of `stretch` values of order, rows are admitted while the budget lasts.
+    """(order, cost, admitted): rows are admitted in order while the one budget of the whole run lasts.
 
-    A row that doesn't fit is skipped and later ones may still fit, so this is a fold and no running sum. A stretch is
-    bounded by its length.
+    A row that doesn't fit is skipped and later ones may still fit, so this is a fold and no running sum. It goes over
+    `stretch` rows at a time and carries what is left; rows that cost more than that can never fit and are passed over
+    in bulk. Values of order are distinct, costs aren't negative; a null cost is not admitted.
     """
-    step = lambda acc, x: F.when(acc["used"] + x["cost"] <= budget, F.struct((acc["used"] + x["cost"]).alias("used"), F.concat(acc["out"], F.array(x["order"])).alias("out"))).otherwise(acc)
-    rows = df.select(F.col(order).alias("order"), F.col(cost).cast("long").alias("cost"), F.floor(F.col(order) / stretch).alias("stretch"))
-    lists = rows.groupBy("stretch").agg(F.array_sort(F.collect_list(F.struct("order", "cost"))).alias("rows"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.expr("CAST(array() AS array<bigint>)").alias("out"))
-    folded = lists.withColumn("in", F.aggregate("rows", start, step)["out"]).select(F.explode("rows").alias("r"), "in")
-    return folded.select(F.col("r.order").alias(order), F.col("r.cost").alias(cost), F.array_contains("in", F.col("r.order")).alias("admitted"))
+    rows = df.select(F.col(order).alias("order"), F.col(cost).cast("long").alias("cost"))
+    left, after, admitted = budget, None, []
+    while True:
+        fits = rows.where((F.col("cost") > 0) & (F.col("cost") <= left) & F.col("order").isNotNull())
+        part = (fits if after is None else fits.where(F.col("order") > F.lit(after))).orderBy("order").limit(stretch).collect()  # `stretch` rows at most
+        for r in part:
+            if r["cost"] <= left:
+                left -= r["cost"]
+                admitted.append((r["order"],))
+        if len(part) < stretch:
+            break
+        after = part[-1]["order"]
+    chosen = df.sparkSession.createDataFrame(admitted, f"chosen {rows.schema['order'].dataType.simpleString()}")
+    both = rows.join(chosen, rows["order"] == chosen["chosen"], "left")
+    return both.select(F.col("order").alias(order), F.col("cost").alias(cost), F.coalesce((F.col("cost") == 0) | F.col("chosen").isNotNull(), F.lit(False)).alias("admitted"))
 
 
 def decide(requests: pd.DataFrame) -> pd.DataFrame:
