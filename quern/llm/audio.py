@@ -47,8 +47,8 @@ def from_wav(media: bytes) -> bytes:
 def peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Frame and frequency bin of each spectral peak: larger than its neighbours in time and frequency and than its frame's mean."""
     x = np.frombuffer(samples, np.uint8).astype(np.float32) - 128
-    if len(x) < FRAME:
-        x = np.concatenate([x, np.zeros(FRAME - len(x), np.float32)])
+    whole = FRAME + max(0, -(-(len(x) - FRAME) // HOP)) * HOP  # so that the last samples are in a frame
+    x = np.concatenate([x, np.zeros(whole - len(x), np.float32)])
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     hann, found = np.hanning(FRAME).astype(np.float32), []
     for at in range(0, len(frames), BLOCK):

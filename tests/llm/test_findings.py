@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from quern.llm import pii, word_perplexity
+from quern.llm import audio, pii, word_perplexity
 from quern.operators import duplicates, state
 
 
@@ -113,3 +113,11 @@ def test_admission_has_one_budget(spark):
                 expected.add(i)
         out = state.admit(df, "id", "c", budget, stretch).collect()
         assert len(out) == len(rows) and {r.id for r in out if r.admitted} == expected
+
+
+def test_fingerprint_reaches_the_end_of_the_samples():
+    rng = random.Random(8)
+    for n in (320, 448, 64 * 31):
+        head = rng.randbytes(n - 64)
+        a, b = audio.fingerprint(head + rng.randbytes(64)), audio.fingerprint(head + rng.randbytes(64))
+        assert a[0].tolist() != b[0].tolist() or a[1].tolist() != b[1].tolist()
