@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -27,6 +28,9 @@ WILD, GAPS = "*#%", " .-_~'`,:;/\\"
 #: Costs of the channel, in nats: a sign for a letter, any letter for a wild sign, a dropped gap, another dropped sign, a
 #: dropped letter of a run of three or more.
 SUBSTITUTED, HIDDEN, DROPPED, LOST, REPEATED = 1.0, 3.0, 0.7, 8.0, 0.3
+#: The cost of a gap that is kept as a boundary in a run of single signs, and the signs of such a run that are restored
+#: at once; the next ones start half way, so that a word of up to half as many is whole in one of them.
+KEPT, WINDOW = 2.0, 80
 #: Memory of a worker for tokens; it changes no result.
 REMEMBERED = 400_000
 
@@ -36,7 +40,9 @@ HEAD, TAIL = GAPS + '"[]{}<>?&=*#%', GAPS + '"()[]{}<>?&=*#%$!|'
 _CLASS = bytes(ord(chr(i).lower()) - 96 if chr(i).isascii() and chr(i).isalpha() else 0 for i in range(256))
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _ODD = re.compile(r"[^\W\d_][^\w\s]*[\d@$!|+(*#%_€£][^\w\s]*[^\W\d_]|[\d@$!|+(€£][a-z]|[a-z][\d@$!|€£]|([a-z])\1\1|[^\W\d_][.\-_~'`,:;/\\*]+[^\W\d_][.\-_~'`,:;/\\*]+[^\W\d_]")
-_SPACED = re.compile(r"(?<![^\s])(?:[a-z0-9@$!|+*#%][ \t._\-*]{1,2}){3,40}[a-z0-9@$!|+*#%](?![^\s])")
+_SPACED = re.compile(r"(?<![^\W_])[a-z0-9@$!|+*#%(](?:[ \t._\-*]++[a-z0-9@$!|+*#%](?![^\W_])){3,}")
+_SIGN = re.compile(r"[^ \t._\-*][ \t._\-*]*|^[ \t._\-*]+")
+_DOUBLE = re.compile(r"([a-z])\1")
 
 
 def count_triples(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -69,10 +75,11 @@ def log_probs(counts: np.ndarray) -> list:
     return (-np.log(three)).tolist()
 
 
-def restore(token: str, model: list) -> str:
+def restore(token: str, model: list, spaced: bool = False) -> str:
     """The likeliest letters behind a lower-case token: Viterbi over the lattice of what each sign may stand for.
 
-    A state is the last two letters; letters outside a-z are their own and cost as a boundary does.
+    A state is the last two letters; letters outside a-z are their own and cost as a boundary does. In a spaced run a
+    gap may also stay, as a boundary between words.
     """
     states, before = {(0, 0): (0.0, "")}, ""
     for i, c in enumerate(token):
@@ -87,11 +94,15 @@ def restore(token: str, model: list) -> str:
                 options.append(("", DROPPED if c in GAPS else LOST))
             if not options:
                 options = [(c, 0.0)]
+            if spaced and c in " \t._-*":
+                options.append((" ", KEPT))
         if c == before and c not in GAPS and c * 3 in token[max(0, i - 2) : i + 2]:
             options.append(("", REPEATED))
         step: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, text) in states.items():
             for x, extra in options:
+                if x == " " and not b:
+                    continue
                 if x:
                     k = ord(x) - 96 if "a" <= x <= "z" else 0
                     to, total, out = (b, k), cost + extra + model[a][b][k], text + x
@@ -103,6 +114,21 @@ def restore(token: str, model: list) -> str:
     return min((cost + model[a][b][0], text) for (a, b), (cost, text) in states.items())[1]
 
 
+def undoubled(word: str) -> Iterator[str]:
+    """word with some of its double letters made single, in all ways."""
+    at = [m.start() for m in _DOUBLE.finditer(word)][:10]
+    for n in range(1, len(at) + 1):
+        for drop in itertools.combinations(at, n):
+            yield "".join(c for i, c in enumerate(word) if i not in drop)
+
+
+def windows(run: str) -> Iterator[str]:
+    """A run of single signs, in windows that overlap by half if it is long."""
+    signs = _SIGN.findall(run)
+    for i in range(0, max(1, len(signs) - WINDOW // 2), WINDOW // 2):
+        yield "".join(signs[i : i + WINDOW]).strip()
+
+
 def features(token: str) -> list[str]:
     """A restored token's word and stems; a stem ends in a star."""
     return [token, *(token[:n] + "*" for n in STEMS if len(token) > n)] if len(token) > 2 else []
@@ -118,20 +144,27 @@ class Restorer(dict):
     def __missing__(self, token: str):
         core = _EDGE.sub("", token) if not token.isalpha() else token
         bare = token.lstrip(HEAD).rstrip(TAIL)
-        value = self.known(restore(bare, self.model) if _ODD.search(bare) else core)
+        value = self.look(restore(bare, self.model) if _ODD.search(bare) else core)
         if len(self) >= REMEMBERED:
             self.clear()
         if len(token) <= 64:
             self[token] = value
         return value
 
+    def look(self, word: str):
+        """What is known of a word, or else of the first form with single letters for double ones that is known."""
+        value = self.known(word)
+        if value is None and _DOUBLE.search(word):
+            value = next((v for x in undoubled(word) if (v := self.known(x)) is not None), None)
+        return value
+
     def of(self, text: str) -> set:
         """Values of a text's distinct tokens, and of its runs of spaced letters; Nones are left out."""
         text = text.lower()
         found = {v for v in map(self.__getitem__, set(text.split())) if v is not None}
         for m in _SPACED.finditer(text):
-            if (v := self.known(restore(m[0], self.model))) is not None:
-                found.add(v)
+            for part in windows(m[0]):
+                found |= {v for w in restore(part, self.model, spaced=True).split() if (v := self.look(w)) is not None}
         return found
 
 

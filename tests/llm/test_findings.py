@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from quern.llm import audio, pii, word_perplexity
+from quern.llm import audio, pii, toxicity, word_perplexity
 from quern.operators import duplicates, state
 
 
@@ -121,3 +121,16 @@ def test_fingerprint_reaches_the_end_of_the_samples():
         head = rng.randbytes(n - 64)
         a, b = audio.fingerprint(head + rng.randbytes(64)), audio.fingerprint(head + rng.randbytes(64))
         assert a[0].tolist() != b[0].tolist() or a[1].tolist() != b[1].tolist()
+
+
+def test_spaced_and_doubled_words_are_restored(spark):
+    words = ["scum", "idiot", "loser", "stupid", "river", "letter", "a", "is", "such", "that", "what", "you", "are", "little", "losing", "summer"]
+    rng = random.Random(2)
+    text = " ".join(rng.choice(words) for _ in range(4000))
+    model = toxicity.log_probs(toxicity.count_triples(spark.createDataFrame([(text,)], "text string")))
+    bad = {w: 4.0 for w in ("scum", "idiot", "loser", "stupid")}
+    own = toxicity.Restorer(model, known=toxicity.weigh(bad))
+    for x, word in (("you s c u m.", "scum"), ("(s c u m)", "scum"), ("s c u m", "scum"), ("s   c - u  m!", "scum"), ("an i d i o t, yes", "idiot"), ("such a l o s e r", "loser"), ("stuupid", "stupid"), ("sstuupidd", "stupid"), ("1 2 3 4 " * 100 + "s c u m", "scum")):
+        assert word in {w for w, _ in own.of(x)}, x
+    for x in ("letter summer little", "a b c d e f", "1 2 3 4 5", "* * * * * " * 5000):
+        assert not own.of(x), x
