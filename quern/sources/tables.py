@@ -25,4 +25,30 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and the files outlive any executor."""
     path = unique_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.durable_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes the files of durable tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.durable_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
+    """df as a table that is dealt over buckets by key: what joins it on the key doesn't shuffle it again."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"quern_{uuid.uuid4().hex}_{name}"
+    df.repartition(n, key).write.option("compression", "zstd").bucketBy(n, key).saveAsTable(table)
+    return spark.table(table)
+
+
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As dealt(), but each task deals what it has, so that nothing is shuffled; keys should belong to one task each."""
+    spark = df.sparkSession
+    table = f"quern_{uuid.uuid4().hex}_{name}"
+    df.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(table)
+    return spark.table(table)
