@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quern.sources.tables import durable, shared_dir, unique_path  # noqa: F401  shared with the modules here
+from quern.sources.tables import bucketed, dealt, durable, release, shared_dir, unique_path  # noqa: F401  shared with the modules here
 
 #: Separators of words in every operator here: space and the five ASCII controls from tab to carriage return.
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -48,7 +48,7 @@ def arrow_map_all(df: DataFrame, steps: Callable[[Iterator[pa.RecordBatch]], Ite
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in steps(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in out], schema=out)
+            yield pa.RecordBatch.from_arrays([x if isinstance(x := columns[f.name], pa.Array) and x.type == f.type else pa.array(x, type=f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 
@@ -72,16 +72,22 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
-def join_small(left: DataFrame, right: DataFrame, on: str, how: str = "left", limit: int = BROADCAST_ROWS, salts: int = 64) -> DataFrame:
-    """left joined with right, which has one row a key (nulls match nulls) and is mostly small.
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    name, taken = f"__{name}", {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-    right is counted: up to limit rows it is broadcast; beyond, each of its rows is repeated for every salt and
-    the rows of left are dealt over the salts, so that a hot key never lands in one task.
+
+def join_small(left: DataFrame, right: DataFrame, on: str, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """left joined with right, a durable table that has one row a key (nulls match nulls) and is mostly small.
+
+    right is counted: up to limit rows it is broadcast. Beyond, both sides are shuffled by the key, and as one row of
+    right meets any number of left's, the adaptive plan splits the rows of a hot key over tasks.
     """
-    right = right.withColumnRenamed(on, "__key")
-    same = left[on].eqNullSafe(right["__key"])
-    if right.limit(limit + 1).count() <= limit:
-        return left.join(F.broadcast(right), same, how).drop("__key")
-    dealt = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    spread = right.withColumn("__salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(spread, dealt[on].eqNullSafe(spread["__key"]) & (dealt["__salt"] == spread["__salt_"]), how).drop("__key", "__salt", "__salt_")
+    key = fresh(left, "key")
+    right = right.withColumnRenamed(on, key)
+    same = left[on].eqNullSafe(right[key])
+    near = F.broadcast(right) if right.limit(limit + 1).count() <= limit else right.hint("merge")
+    return left.join(near, same, how).drop(key)

@@ -1,9 +1,12 @@
-"""A compressed FM-index over sequences of integers: suffix order, and a wavelet matrix of bit vectors with block ranks."""
+"""A compressed FM-index over sequences of integers: a wavelet matrix of bit vectors with block ranks, and sampled places."""
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Every so many places of the text are stored; those between are found by steps through the index.
+SAMPLE = 4
+
 
 class Bits:
     """A bit vector in 64-bit words, with the number of ones before each word."""
@@ -20,23 +23,30 @@ class Bits:
         mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
         return self.before[at] + np.bitwise_count(self.words[at] & mask)
 
+    def at(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)
+
 
 class FMIndex:
-    """Backward search for many patterns at once, over a text of symbols >= 1 with 0 between its sequences.
+    """Backward search for many patterns at once, over a text of symbols >= 1.
 
-    Suffixes are ordered by their first `depth` symbols or more, which is enough for patterns up to that length.
+    The text itself isn't kept, and of the suffixes' places one in SAMPLE.
     """
 
-    def __init__(self, text: np.ndarray, depth: int):
-        self.text, n = text, len(text)
-        rank, reach = text.astype(np.int64), 1
-        while reach < depth:
+    def __init__(self, text: np.ndarray):
+        text = np.append(text.astype(np.int64), 0)  # an end, lower than all symbols
+        self.size = n = len(text)
+        rank, reach = np.unique(text, return_inverse=True)[1], 1
+        while rank.max() < n - 1:  # doubles the symbols by which suffixes are ordered until all differ
             ahead = np.zeros(n, np.int64)
             ahead[: max(0, n - reach)] = rank[reach:] + 1
             rank = np.unique(rank * (n + 2) + ahead, return_inverse=True)[1]
             reach *= 2
-        self.order = np.argsort(rank, kind="stable").astype(np.int64)
-        last = text[self.order - 1]  # the symbol before each suffix; before the first one stands the text's last, a 0
+        order = np.empty(n, np.int64)
+        order[rank] = np.arange(n)
+        last = text[order - 1]  # the symbol before each suffix; before the first one stands the end
+        kept = order % SAMPLE == 0
+        self.marked, self.places = Bits(kept), order[kept].astype(np.int32 if n < 1 << 31 else np.int64)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=int(text.max(initial=0)) + 1))]).astype(np.int64)
         self.levels = max(1, int(text.max(initial=0)).bit_length())
         self.bits, self.zeros = [], []
@@ -55,19 +65,51 @@ class FMIndex:
             low, high, start = np.where(one, zeros + a, low - a), np.where(one, zeros + b, high - b), np.where(one, zeros + s, start - s)
         return self.first[symbols] + low - start, self.first[symbols] + high - start
 
-    def repeats(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of the patterns text[s : s + length], those that come up twice or more, and where each first comes up."""
-        starts = np.asarray(starts, np.int64)
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), len(self.text), np.int64)
-        for j in range(length - 1, -1, -1):
-            low, high = self.step(self.text[starts + j], low, high)
-            more = high - low > 1
-            starts, low, high = starts[more], low[more], high[more]
-        if not len(starts):
-            return starts, starts
-        lows, which = np.unique(low, return_inverse=True)
-        ends = np.empty(len(lows), np.int64)
-        ends[which] = high
-        padded = np.append(self.order, np.iinfo(np.int64).max)
-        least = np.minimum.reduceat(padded, np.stack([lows, ends], 1).ravel())[::2]
-        return starts, least[which]
+    def back(self, rows: np.ndarray) -> np.ndarray:
+        """The suffixes that start one place before those of rows."""
+        at, start, symbols = rows, np.zeros_like(rows), np.zeros_like(rows)
+        for bits, zeros in zip(self.bits, self.zeros, strict=True):
+            one = bits.at(at).astype(bool)
+            a, s = bits.ones(at), bits.ones(start)
+            symbols = symbols * 2 + one
+            at, start = np.where(one, zeros + a, at - a), np.where(one, zeros + s, start - s)
+        return self.first[symbols] + at - start
+
+    def locate(self, rows: np.ndarray) -> np.ndarray:
+        """Places in the text of the suffixes of rows."""
+        out = np.zeros(len(rows), np.int64)
+        open_, at, steps = np.arange(len(rows)), np.asarray(rows, np.int64), 0
+        while len(open_):
+            known = self.marked.at(at).astype(bool)
+            out[open_[known]] = self.places[self.marked.ones(at[known])] + steps
+            open_, at = open_[~known], at[~known]
+            if len(open_):
+                at, steps = self.back(at), steps + 1
+        return out
+
+    def matching(self, stream: np.ndarray, ends: np.ndarray, most: int, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of a stream of symbols: how far to the left each of its places `ends` matches, `most` symbols at most.
+
+        A match of an end counts while it comes up at least `times` times in the text. The intervals of suffixes are
+        those of the ends that reach `most`; for the others they are empty.
+        """
+        length = np.zeros(len(ends), np.int64)
+        low, high = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+        open_, lo, hi = np.arange(len(ends)), np.zeros(len(ends), np.int64), np.full(len(ends), self.size, np.int64)
+        for j in range(most):
+            lo, hi = self.step(stream[ends[open_] - j], lo, hi)
+            more = hi - lo >= times[open_]
+            open_, lo, hi = open_[more], lo[more], hi[more]
+            length[open_] = j + 1
+        low[open_], high[open_] = lo, hi
+        return length, low, high
+
+    def earliest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The first place in the text among the suffixes of each of these intervals, none of which is empty; equal or nested intervals are looked at once."""
+        if not len(low):
+            return low
+        lows, first, which = np.unique(low, return_index=True, return_inverse=True)
+        sizes = high[first] - lows
+        starts = np.cumsum(sizes) - sizes
+        rows = np.arange(sizes.sum()) - np.repeat(starts, sizes) + np.repeat(lows, sizes)
+        return np.minimum.reduceat(self.locate(rows), starts)[which]
