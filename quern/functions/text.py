@@ -15,6 +15,8 @@ WORD = r"[\p{L}\p{N}_]"
 #: Words that betray the machinery behind a text; stems may go on, whole words may not.
 MARKER_WORDS = ("mock", "fully simulated", "fully_simulated", "fully-simulated")
 MARKER_STEMS = ("sentetik", "synthetic", "fixture", "fikstur", "fikstür", "simulated", "simulation", "simulasyon", "simülasyon", "simule", "simüle")
+#: Letters of other scripts that stand for units.
+UNIT_LETTERS = "µμ"
 #: Turkish letters and their plain forms.
 TURKISH_FROM, TURKISH_TO = "ıİşŞğĞüÜöÖçÇ", "iisSgGuUoOcC"
 
@@ -56,8 +58,8 @@ def markers(text: Column) -> Column:
 
 
 def foreign_letters(text: Column) -> Column:
-    """How many letters are not Latin ones."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}&&[^\p{IsLatin}µ]]")).cast("long")
+    """How many letters are neither Latin ones nor signs of units."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[\p{L}&&[^\p{IsLatin}" + UNIT_LETTERS + "]]")).cast("long")
 
 
 def numbers(text: Column) -> Column:

@@ -7,9 +7,27 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The grammar of versions and of tool ids, and what a change makes move on.
 _SEMVER = r"^(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)(?:-([0-9A-Za-z.-]+))?(?:\+([0-9A-Za-z.-]+))?$"
 
 
+_TOOL_ID = r"^[a-z][a-z0-9_]*\.[a-z][a-z0-9_]*\.v([1-9][0-9]*)$"
+CHANGES = {
+    "schema_required_field_changed": "schema_version",
+    "schema_field_type_changed": "schema_version",
+    "messages_incompatible": "schema_version",
+    "tool_call_incompatible": "schema_version",
+    "tool_added": "tool_registry_version",
+    "tool_removed": "tool_registry_version",
+    "tool_input_changed": "tool_registry_version",
+    "tool_output_changed": "tool_registry_version",
+    "tool_required_parameters_changed": "tool_registry_version",
+    "tool_execution_environment_changed": "tool_registry_version",
+    "tool_schema_incompatible": "tool_id_major",
+    "description_only": "patch_only",
+}
+
+
 def parsed(version: Column) -> Column:
     """major, minor, patch, prerelease and build of a version; null for what is none. Structs compare field by field."""
     part = lambda i: F.regexp_extract(version, _SEMVER, i)
@@ -22,9 +40,17 @@ def in_development(version: Column) -> Column:
 
 
 def major_matches(tool_id: Column, version: Column) -> Column:
-    """Whether a tool id's last `_vN` is its version's major number; ids without one match."""
-    own = F.regexp_extract(tool_id, r"_v([0-9]+)$", 1)
-    return (own == "") | F.coalesce(own.try_cast("long") == parsed(version)["major"], F.lit(False))
+    """Whether a tool id's `.vN` is its version's major number; false for what is no tool id or no version."""
+    return F.coalesce(tool_major(tool_id) == parsed(version)["major"], F.lit(False))
+
+
+def tool_major(tool_id: Column) -> Column:
+    return F.nullif(F.regexp_extract(tool_id, _TOOL_ID, 1), F.lit("")).try_cast("long")
+
+
+def change_target(change: Column) -> Column:
+    """Which version a change makes move on; null for an unknown change."""
+    return F.create_map(*(F.lit(x) for kv in CHANGES.items() for x in kv))[change]
 
 
 def next_number(ids: Column, code: str, kind: str = "tctr") -> Column:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.operators.numbering import numbered
+
 
 def export_accepted(records: DataFrame, issues: DataFrame, path: str, columns: list[str] | None = None) -> int:
     """Writes accepted records as JSON lines and returns their number; blocked as a whole if any of them has an issue."""
@@ -42,6 +45,55 @@ def verify_freeze(path: str, spark, order: str, line: str, size: int = 10_000) -
     return now.exceptAll(then.select(*now.columns)).select("shard").union(then.select(*now.columns).exceptAll(now).select("shard")).distinct()
 
 
+def job_manifest(rows: DataFrame, order: str, line: str, size: int, dimensions: dict[str, Column], number: str = "number") -> DataFrame:
+    """(shard, start, end, digest, distributions) of rows in order, dealt to shards of `size` rows; start and end are 0-based and half-open.
+
+    distributions is JSON: for each dimension its labels with their counts, by name. The digest is over the shard's
+    lines in order, so no task sees more than a shard.
+    """
+    placed = numbered(rows, order, name=number).withColumn("shard", F.floor((F.col(number) - 1) / size))
+    own = F.array_sort(F.collect_list(F.struct(F.col(number).alias("o"), F.sha2(line, 256).alias("h"))))  # bounded by the shard
+    shards = placed.groupBy("shard").agg(F.min(F.col(number) - 1).alias("start"), F.max(number).alias("end"), own.alias("own"))
+    each = F.array(*(F.struct(F.lit(k).alias("d"), F.coalesce(v.cast("string"), F.lit("null")).alias("l")) for k, v in dimensions.items()))
+    counts = placed.select("shard", F.explode(each).alias("x")).groupBy("shard", "x.d", "x.l").count().groupBy("shard", "d").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("l", "count")))).alias("m"))
+    dists = counts.groupBy("shard").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("d", F.struct(F.map_keys("m").alias("labels"), F.map_values("m").alias("counts"))))))).alias("distributions"))
+    return shards.select("shard", "start", "end", F.sha2(F.array_join(F.transform("own", lambda x: x["h"]), "\n"), 256).alias("digest")).join(dists, "shard")
+
+
+def manifest_problems(then: DataFrame, now: DataFrame) -> DataFrame:
+    """(shard, problem): shards of a manifest that are gone, new, moved, or whose lines or labels changed since."""
+    b = now.select("shard", *(F.col(c).alias(f"{c}_") for c in ("start", "end", "digest", "distributions")))
+    both = then.join(b, "shard", "full_outer")
+    problem = F.when(F.col("start").isNull(), "added").when(F.col("start_").isNull(), "gone").when((F.col("start") != F.col("start_")) | (F.col("end") != F.col("end_")), "moved").when(F.col("digest") != F.col("digest_"), "changed").when(F.col("distributions") != F.col("distributions_"), "relabelled")
+    return both.select("shard", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def job_progress(manifest: DataFrame, done: DataFrame) -> DataFrame:
+    """(shard, processed, succeeded, failed, status) from a checkpoint (shard, error): pending, running, failed or completed."""
+    counts = done.groupBy("shard").agg(F.count("*").alias("processed"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+    both = manifest.select("shard", (F.col("end") - F.col("start")).alias("rows")).join(counts, "shard", "left").na.fill(0, ["processed", "failed"])
+    status = F.when(F.col("processed") == 0, "pending").when(F.col("processed") < F.col("rows"), "running").when(F.col("failed") > 0, "failed").otherwise("completed")
+    return both.select("shard", "processed", (F.col("processed") - F.col("failed")).alias("succeeded"), "failed", status.alias("status"))
+
+
+def quality_summary(records: DataFrame, gates: dict[str, Column], references: int) -> DataFrame:
+    """Seven counts of a quality run from records (id, finding) and the states of their gates, and the verdict: passed without an automatic failure.
+
+    finding says whether the duplicate check named the record; pairs are those within the records and with the
+    references. The language gate is a person's and fails nothing automatically.
+    """
+    failed = reduce(lambda a, b: a | b, (F.coalesce(g == "failed", F.lit(False)) for k, g in gates.items() if k != "language"))
+    n = F.count("*")
+    counts = records.agg(n.alias("records_checked"), F.lit(references).cast("long").alias("reference_records"), F.floor(n * (n - 1) / 2 + n * references).cast("long").alias("pairs_checked"), F.count_if("finding").alias("duplicate_findings"), F.count_if(failed).alias("records_with_automatic_failures"), F.count_if(gates["semantic"] == "passed").alias("records_with_model_pass"), F.count_if(gates["language"] == "not_run").alias("records_pending_human_language_review"))
+    return counts.withColumn("passed", F.col("records_with_automatic_failures") == 0)
+
+
+def input_problems(records: DataFrame, status: str = "status") -> DataFrame:
+    """(id, problem): ids that come up again, and records that were accepted and may not be rewritten."""
+    again = records.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id", F.lit("duplicate_record_id").alias("problem"))
+    return again.unionByName(records.where(F.col(status) == "accepted").select("id", F.lit("accepted_record").alias("problem")).distinct())
+
+
 def run_job(rows: DataFrame, done: DataFrame, process: Callable[[DataFrame], DataFrame], index: str = "index") -> DataFrame:
     """What process makes of the rows that a checkpoint (index) lacks; process returns index, record and error.
 

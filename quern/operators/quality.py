@@ -43,6 +43,31 @@ def argument_signature(arguments: Column) -> Column:
     return F.when(fields.isNotNull(), F.array_join(F.array_sort(kinds), ","))
 
 
-def policy(samples: Column, needed: int, difference: Column, margin: float) -> Column:
-    """Which of two models to use: too few samples keep the stronger one, a small difference the cheaper one."""
-    return F.when(F.coalesce(samples, F.lit(0)) < needed, "insufficient_samples").when(difference <= margin, "use_cheaper").otherwise("use_stronger")
+#: What a cheaper model has to reach before it may go first.
+RULES = {"samples": 30, "score": 4.0, "score_gap": 0.15, "pass_gap": 1}
+
+
+def recommendation(sample_size: Column, judged: Column, cheap: dict[str, Column], strong: dict[str, Column]) -> Column:
+    """(status, reasons): whether the cheaper of two models may go first, from the summaries of both over the same samples.
+
+    A summary has generation_failed, judge_failed, mean and passes; generation_failed is null where the model is absent.
+    """
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    gap = strong["mean"] - cheap["mean"]
+    scored = cheap["mean"].isNotNull() & strong["mean"].isNotNull()
+    found = {
+        "cheap_generation_failed": cheap["generation_failed"] > 0,
+        "strong_generation_failed": strong["generation_failed"] > 0,
+        "no_judge": ~judged,
+        "judge_failed": judged & ((cheap["judge_failed"] > 0) | (strong["judge_failed"] > 0)),
+        "scores_incomplete": judged & ~scored,
+        "score_low": judged & scored & (cheap["mean"] < RULES["score"]),
+        "score_gap": judged & scored & (gap > RULES["score_gap"]),
+        "not_all_passed": judged & (cheap["passes"] != sample_size),
+        "pass_gap": judged & (strong["passes"] - cheap["passes"] > RULES["pass_gap"]),
+    }
+    reasons = F.array_compact(F.array(*(F.when(yes(v), F.lit(k)) for k, v in found.items())))
+    absent = cheap["generation_failed"].isNull() | strong["generation_failed"].isNull()
+    early = F.when(sample_size < RULES["samples"], "insufficient_sample").when(absent, "incomplete_model_pair")
+    status = F.coalesce(early, F.when(F.size(reasons) == 0, "accepted").otherwise("rejected"))
+    return F.struct(status.alias("status"), F.when(early.isNull(), F.array_join(reasons, ",")).otherwise(early).alias("reasons"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,22 @@ def range_search(df: DataFrame, key: str, day: str, value: str, start: str, end:
     return out.select(key, "rows", (-F.col("hi.v")).alias("highest"), F.col("hi.d").alias("highest_day"), F.col("lo.v").alias("lowest"), F.col("lo.d").alias("lowest_day"))
 
 
+def covered(asked: DataFrame, df: DataFrame, key: str, day: str, release: str) -> DataFrame:
+    """asked (key, start, end, ...) with status, the number of rows in the range, and release_id, the releases of its first and last day.
+
+    status is range_error for a range that ends before it starts, coverage_error for one that leaves the days that df
+    has in all, else covered. Releases are taken by day, as their names have no order.
+    """
+    ends = df.agg(F.min(day).alias("__lo"), F.max(day).alias("__hi"))
+    known = asked.crossJoin(F.broadcast(ends))  # one row
+    status = F.when(F.col("start") > F.col("end"), "range_error").when(F.coalesce((F.col("start") < F.col("__lo")) | (F.col("end") > F.col("__hi")), F.lit(True)), "coverage_error").otherwise("covered")
+    known = known.withColumn("status", status).drop("__lo", "__hi")
+    rows = df.select(F.col(key).alias("__key"), F.col(day).alias("__day"), F.col(release).alias("__release"))
+    inside = (F.col(key) == F.col("__key")) & F.col("__day").between(F.col("start"), F.col("end")) & (F.col("status") == "covered")
+    first, last = F.min_by("__release", "__day"), F.max_by("__release", "__day")
+    return known.join(rows, inside, "left").groupBy(*known.columns).agg(F.count("__day").alias("rows"), F.concat_ws("-", first, last).alias("release_id")).withColumn("release_id", F.nullif("release_id", F.lit("")))
+
+
 def change(df: DataFrame, key: str, day: str, value: str) -> DataFrame:
     """Per key the first and last value by day, their difference and percentage, rounded half to even to 4 and 2 digits; null for one day."""
     ends = df.groupBy(key).agg(F.min(F.struct(day, value)).alias("a"), F.max(F.struct(day, value)).alias("b"), F.count_distinct(day).alias("days"))
@@ -49,7 +65,3 @@ def overlaps(df: DataFrame, key: str, id_col: str, start: Column, minutes: int)
     earlier = slots.select("k", F.col("id").alias("other"), F.col("at").alias("began"), F.explode(F.array("stretch", F.col("stretch") + 1)).alias("stretch"))
     clash = slots.join(earlier, ["k", "stretch"]).where((F.col("began") < F.col("at")) & (F.col("at") < F.col("began") + size * 1_000_000))
     return clash.groupBy("id").agg(F.min(F.struct("began", "other")).alias("m")).select("id", F.col("m.other").alias("conflict_with"))
-
-
-def running(key: str, *order: str):
-    return Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

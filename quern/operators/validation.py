@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quern.functions.hashing import valid_record_id
 from quern.functions.jsons import same_value, schema_issues, without_descriptions
 from quern.functions.text import markers
+from quern.functions.versions import major_matches
 from quern.sources.schemas import GATES
+from quern.sources.tables import durable
 
 #: Tags, statuses whose results need no JSON, and decisions that each category allows.
 EXEMPT, PARALLEL, SEQUENTIAL = "internal_marker_topic", "parallel_tool", "sequential_tool"
@@ -33,7 +35,8 @@ def shaped(records: DataFrame) -> DataFrame:
 
 def record_issues(records: DataFrame, registry: DataFrame) -> DataFrame:
     """(id, code, path): every rule that a record breaks, the registry (name, parameters, output_schema) looked up once a name."""
-    r = shaped(records)
+    # Written once, so that the four looks at it agree on rows and don't shape them again.
+    r = durable(shaped(records).withColumns({"__row": F.monotonically_increasing_id(), "__accepted": F.coalesce(F.col("metadata.review.status") == "accepted", F.lit(False))}), "shaped")
     c = F.col
     n = F.size("__calls")
     ids = lambda a: F.transform(a, lambda x: x["id"])
@@ -76,43 +79,51 @@ def record_issues(records: DataFrame, registry: DataFrame) -> DataFrame:
         issue("NO_TOOL_FINAL_BEHAVIOR_INVALID", category.isin(*NO_CALLS) & ~F.coalesce(F.array_max("__direct") == F.size("messages") - 1, F.lit(False)), "$.messages"),
         issue("REVIEW_ACCEPTED_BEFORE_VALIDATION", accepted & F.exists(open_gates, lambda g: g.isin("failed", "not_run")), "$.metadata.review"),
     ]
-    own = r.select("id", accepted.alias("__accepted"), F.explode(F.array_compact(F.array(*semantic))).alias("x")).select("id", "__accepted", "x.code", "x.path")
-    looked = call_issues(r, registry).unionByName(result_issues(r, registry)).unionByName(tool_issues(r, registry))
-    every = own.unionByName(looked.join(r.select("id", accepted.alias("__accepted")), "id"))
-    late = every.where("__accepted").select("id").distinct().select("id", F.lit("ACCEPTED_RECORD_INVALID").alias("code"), F.lit("$.metadata.review").alias("path"))
-    return every.drop("__accepted").unionByName(late)
+    own = r.select("__row", "id", "__accepted", F.explode(F.array_compact(F.array(*semantic))).alias("x")).select("__row", "id", "__accepted", "x.code", "x.path")
+    every = own.unionByName(call_issues(r, registry)).unionByName(result_issues(r, registry)).unionByName(tool_issues(r, registry))
+    late = every.where("__accepted").select("__row", "id").distinct().select("id", F.lit("ACCEPTED_RECORD_INVALID").alias("code"), F.lit("$.metadata.review").alias("path"))
+    return every.select("id", "code", "path").unionByName(late)
+
+
+#: What issues carry of their record: its row, as ids may repeat, and whether it was accepted.
+OWN = ("__row", "id", "__accepted")
 
 
 def call_issues(shaped_records: DataFrame, registry: DataFrame) -> DataFrame:
     """Arguments of calls against the schemas of their functions."""
-    calls = shaped_records.select("id", F.explode("__calls").alias("c")).select("id", F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), F.col("c.i").alias("i"))
+    calls = shaped_records.select(*OWN, F.explode("__calls").alias("c")).select(*OWN, F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), F.col("c.i").alias("i"))
     met = calls.join(registry.select("name", "parameters"), "name", "left")
     base = F.format_string("$.messages[%d]", "i")
-    unknown = met.where("parameters IS NULL").select("id", F.lit("FUNCTION_NOT_IN_REGISTRY").alias("code"), base.alias("path"))
+    unknown = met.where("parameters IS NULL").select(*OWN, F.lit("FUNCTION_NOT_IN_REGISTRY").alias("code"), base.alias("path"))
     code = F.when(F.col("x.code") == "ADDITIONAL", "ARG_UNSUPPORTED").when(F.col("x.code").isin("REQUIRED", "TYPE", "ENUM", "FORMAT"), F.concat(F.lit("ARG_"), "x.code")).otherwise("ARG_SCHEMA_INVALID")
-    broken = met.where("parameters IS NOT NULL").select("id", base.alias("base"), F.explode(schema_issues("parameters", "arguments")).alias("x"))
-    return unknown.unionByName(broken.select("id", code.alias("code"), F.concat("base", F.substring("x.path", 2, 1 << 20)).alias("path")))
+    broken = met.where("parameters IS NOT NULL").select(*OWN, base.alias("base"), F.explode(schema_issues("parameters", "arguments")).alias("x"))
+    return unknown.unionByName(broken.select(*OWN, code.alias("code"), F.concat("base", F.substring("x.path", 2, 1 << 20)).alias("path")))
 
 
 def result_issues(shaped_records: DataFrame, registry: DataFrame) -> DataFrame:
     """Results against the output schemas of their functions, where the status promises one."""
-    results = shaped_records.where(~F.col("metadata.execution.status").isin(*NO_RESULT)).select("id", F.explode("__results").alias("r")).where(F.try_parse_json("r.content").isNotNull())
-    met = results.select("id", F.col("r.name").alias("name"), F.col("r.content").alias("content"), F.format_string("$.messages[%d]", "r.i").alias("base")).join(registry.select("name", "output_schema"), "name")
+    results = shaped_records.where(~F.col("metadata.execution.status").isin(*NO_RESULT)).select(*OWN, F.explode("__results").alias("r")).where(F.try_parse_json("r.content").isNotNull())
+    met = results.select(*OWN, F.col("r.name").alias("name"), F.col("r.content").alias("content"), F.format_string("$.messages[%d]", "r.i").alias("base")).join(registry.select("name", "output_schema"), "name")
     code = F.when(F.col("x.code") == "ADDITIONAL", "RESULT_UNSUPPORTED").when(F.col("x.code").isin("REQUIRED", "TYPE", "ENUM", "FORMAT"), F.concat(F.lit("RESULT_"), "x.code")).otherwise("RESULT_SCHEMA_INVALID")
-    return met.select("id", "base", F.explode(schema_issues("output_schema", "content")).alias("x")).select("id", code.alias("code"), F.concat("base", F.substring("x.path", 2, 1 << 20)).alias("path"))
+    return met.select(*OWN, "base", F.explode(schema_issues("output_schema", "content")).alias("x")).select(*OWN, code.alias("code"), F.concat("base", F.substring("x.path", 2, 1 << 20)).alias("path"))
 
 
 def tool_issues(shaped_records: DataFrame, registry: DataFrame) -> DataFrame:
     """Exposed tools whose parameters differ from the registry's beyond descriptions, or that it lacks."""
-    tools = shaped_records.select("id", F.explode("tools").alias("t")).select("id", F.col("t.function.name").alias("name"), F.col("t.function.parameters").alias("own"))
+    tools = shaped_records.select(*OWN, F.explode("tools").alias("t")).select(*OWN, F.col("t.function.name").alias("name"), F.col("t.function.parameters").alias("own"))
     met = tools.join(registry.select("name", "parameters"), "name", "left")
     code = F.when(F.col("parameters").isNull(), "FUNCTION_NOT_IN_REGISTRY").when(~same_value(without_descriptions("own"), without_descriptions("parameters")), "EXPOSED_TOOL_SCHEMA_MISMATCH")
-    return met.select("id", code.alias("code"), F.lit("$.tools").alias("path")).where("code IS NOT NULL")
+    return met.select(*OWN, code.alias("code"), F.lit("$.tools").alias("path")).where("code IS NOT NULL")
 
 
 def registry_issues(registry: DataFrame) -> DataFrame:
     """(tool_id, code): repeated ids and names, and modes, versions and domains that don't fit."""
     twice = lambda key, code: registry.join(registry.groupBy(F.col(key).alias("__k")).count().where("count > 1"), F.col(key) == F.col("__k"), "left_semi").select("tool_id", F.lit(code).alias("code"))
-    major = F.regexp_extract("tool_id", r"_v([0-9]+)$", 1)
-    rules = F.array_compact(F.array(F.when(~F.array_contains("execution.supported_types", F.col("execution.default_type")), F.lit("DEFAULT_EXECUTION_NOT_SUPPORTED")), F.when((major != "") & (major != F.split_part("tool_version", F.lit("."), F.lit(1))), F.lit("TOOL_MAJOR_MISMATCH")), F.when(~F.col("tool_id").startswith(F.col("domain")), F.lit("TOOL_DOMAIN_MISMATCH"))))
+    own = F.split_part("tool_id", F.lit("."), F.lit(1))
+    broken = {
+        "DEFAULT_EXECUTION_NOT_SUPPORTED": ~F.array_contains("execution.supported_types", F.col("execution.default_type")),
+        "TOOL_MAJOR_MISMATCH": ~major_matches(F.col("tool_id"), F.col("tool_version")),
+        "TOOL_DOMAIN_MISMATCH": (F.col("domain") != own) | ~F.col("function.name").startswith(F.concat(own, F.lit("_"))),
+    }
+    rules = F.array_compact(F.array(*(F.when(when, F.lit(code)) for code, when in broken.items())))
     return registry.select("tool_id", F.explode(rules).alias("code")).unionByName(twice("tool_id", "DUPLICATE_TOOL_ID")).unionByName(twice("function.name", "DUPLICATE_FUNCTION_NAME"))

@@ -49,12 +49,16 @@ def contamination_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _findings(spark, sf_dir).select("item_id", "doc_id", decision.alias("decision"), "normalized_equal")
 
 
-@query(f"""WITH {_CONTAINED}, c AS (SELECT (SELECT count(*) FROM benchmark) * (SELECT count(*) FROM documents) AS pairs_checked, count_if(exact) AS blocking, count_if(NOT exact) AS review FROM found)
-SELECT CAST(pairs_checked AS BIGINT) AS pairs_checked, CAST(blocking AS BIGINT) AS blocking, CAST(review AS BIGINT) AS review, CASE WHEN pairs_checked = 0 OR blocking > 0 THEN 'blocked' WHEN review > 0 THEN 'needs_review' ELSE 'passed' END AS status FROM c""")
+@query(f"""WITH {_CONTAINED}, c AS (SELECT (SELECT count(*) FROM benchmark) * (SELECT count(*) FROM documents) AS pairs_checked, count(*) AS blocking FROM found), r AS (SELECT *, pairs_checked - blocking AS review FROM c)
+SELECT CAST(pairs_checked AS BIGINT) AS pairs_checked, CAST(blocking AS BIGINT) AS blocking, CAST(review AS BIGINT) AS review, CASE WHEN pairs_checked = 0 OR blocking > 0 THEN 'blocked' WHEN review > 0 THEN 'needs_review' ELSE 'passed' END AS status FROM r""")
 def contamination_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pairs_checked is the product of the two sizes; no pair is formed but those that an index finds."""
+    """pairs_checked is the product of the two sizes; no pair is formed but those that an index finds.
+
+    Duplicates and possible ones block. Without embeddings, all other pairs are left for a semantic review.
+    """
     total = table(spark, sf_dir, "benchmark").count() * table(spark, sf_dir, "documents").count()
-    counts = _findings(spark, sf_dir).agg(F.count_if("exact").alias("blocking"), F.count_if(~F.col("exact")).alias("review"))
+    found = contamination_findings(spark, sf_dir).agg(F.count_if(F.col("decision").isin(*duplicates.BLOCKING)).alias("blocking"))
+    counts = found.withColumn("review", F.lit(total) - F.col("blocking"))
     status = duplicates.contamination_status(F.lit(total), F.col("blocking"), F.col("review"))
     return counts.select(F.lit(total).cast("long").alias("pairs_checked"), "blocking", "review", status.alias("status"))
 
@@ -91,7 +95,7 @@ def conversation_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "user_turns", conv.category(F.col("user_turns"), F.lit(0), F.lit("direct_answer")).alias("category"))
 
 
-_MARKER = "(^|[^\\p{L}\\p{N}])(mock|fully[ _-]simulated|(sentetik|synthetic|fixture|fikstur|fikstür|simulated|simulation|simulasyon|simülasyon|simule|simüle)[\\p{L}\\p{N}_]*)($|[^\\p{L}\\p{N}])"
+_MARKER = f"(^|[^\\p{{L}}\\p{{N}}])({'|'.join(text.MARKER_WORDS)}|({'|'.join(text.MARKER_STEMS)})[\\p{{L}}\\p{{N}}_]*)($|[^\\p{{L}}\\p{{N}}])"
 
 
 @query(f"""WITH m AS (SELECT *, lag(role) OVER w AS before, turn - lag(turn) OVER w AS gap, row_number() OVER w AS place FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
@@ -261,9 +265,11 @@ def known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_custkey").distinct().join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderstatus = 'F' AND o_totalprice > 400000)")
 def unknown_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    """Customers without a large order that is finished."""
+    large = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_totalprice > 400000")
+    return table(spark, sf_dir, "customer").select("c_custkey").join(large, F.col("o_custkey") == F.col("c_custkey"), "left_anti")
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -284,7 +290,9 @@ def overlap_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.overlaps(table(spark, sf_dir, "events"), "user_id", "event_id", F.col("ts"), 10)
 
 
-@query()
+@query("""WITH RECURSIVE d AS (SELECT doc_id, CAST(ceil(n_chars / 2) AS BIGINT) + 2000 AS cost, row_number() OVER (ORDER BY doc_id) AS n FROM documents),
+r AS (SELECT n, cost <= 100000 AS ok, CASE WHEN cost <= 100000 THEN cost ELSE 0 END AS used FROM d WHERE n = 1 UNION ALL SELECT d.n, r.used + d.cost <= 100000, r.used + CASE WHEN r.used + d.cost <= 100000 THEN d.cost ELSE 0 END FROM r JOIN d ON d.n = r.n + 1)
+SELECT doc_id, cost, coalesce(ok, false) AS admitted FROM d LEFT JOIN r USING (n)""")
 def budget_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", state.token_estimate(F.col("n_chars")).alias("cost"))
     return state.admit(docs, "doc_id", "cost", 100_000, 1000)
@@ -310,15 +318,16 @@ def marker_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", (F.size(text.markers(F.col("text"))) > 0).alias("has_marker"))
 
 
-@query("SELECT page_id, CAST(len(regexp_extract_all(html, '[\\p{L}]')) - len(regexp_extract_all(html, '[\\p{Latin}µ]')) AS BIGINT) AS foreign_letters FROM pages")
+@query("SELECT page_id, CAST(len(regexp_extract_all(html, '[\\p{L}]')) - len(regexp_extract_all(html, '[\\p{Latin}µμ]')) AS BIGINT) AS foreign_letters FROM pages")
 def script_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.foreign_letters(F.col("html")).alias("foreign_letters"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 AS even, true AS same FROM events")
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 AS even, event_id % 3 <> 0 AS same FROM events")
 def json_value_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event's props against the same value in another spelling."""
-    other = F.concat(F.lit('{ "k" : '), F.variant_get(F.parse_json("props"), "$.k", "long").cast("string"), F.lit(".0 }"))
+    """Each event's props against the same value in another spelling, or against another value."""
+    k = F.variant_get(F.parse_json("props"), "$.k", "long") + F.when(F.pmod("event_id", F.lit(3)) == 0, 1).otherwise(0)
+    other = F.concat(F.lit('{ "k" : '), k.cast("string"), F.lit(".0 }"))
     return table(spark, sf_dir, "events").select("event_id", (F.variant_get(F.parse_json("props"), "$.k", "long") % 2 == 0).alias("even"), jsons.same_value(F.col("props"), other).alias("same"))
 
 
@@ -335,12 +344,12 @@ def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.sum(state.token_estimate(F.col("n_chars"))).alias("estimate"))
 
 
-@query("SELECT source, round(avg(m), 5) AS overall FROM (SELECT source, round(avg(quality), 4) AS m FROM labels JOIN documents USING (doc_id) GROUP BY source UNION ALL SELECT source, round(avg(1 - toxic), 4) FROM labels JOIN documents USING (doc_id) GROUP BY source) GROUP BY source")
+@query("SELECT source, round(avg(m), 4) AS overall FROM (SELECT source, round(avg(quality), 4) AS m FROM labels JOIN documents USING (doc_id) GROUP BY source UNION ALL SELECT source, round(avg(1 - toxic), 4) FROM labels JOIN documents USING (doc_id) GROUP BY source) GROUP BY source")
 def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of rounded means of two scores by source."""
     both = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
-    means = both.groupBy("source").agg(F.round(F.avg("quality"), 4).alias("a"), F.round(F.avg(1 - F.col("toxic")), 4).alias("b"))
-    return means.select("source", F.round((F.col("a") + F.col("b")) / 2, 5).alias("overall"))
+    scores = both.select(F.col("source").alias("model"), F.col("doc_id").alias("id"), F.explode(F.array(F.struct(F.lit("quality").alias("dimension"), F.col("quality").alias("score")), F.struct(F.lit("clean").alias("dimension"), (1 - F.col("toxic")).alias("score")))).alias("s")).select("model", "id", "s.*")
+    return quality.model_summary(scores).select(F.col("model").alias("source"), F.col("mean").alias("overall"))
 
 
 @query()

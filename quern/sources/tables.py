@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Where the tables of this application are: paths, and names in the catalogue.
+made: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or a local folder where nothing is set, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
@@ -25,6 +29,7 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and the files outlive any executor."""
     path = unique_path(df.sparkSession, name)
     df.write.parquet(path)
+    made.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.durable_path = path
     return out
@@ -33,8 +38,17 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Deletes the files of durable tables that nothing reads any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.durable_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        forget(df.sparkSession, [df.durable_path])
+
+
+def forget(spark: SparkSession, names: list[str]) -> None:
+    """Deletes tables that are named as in `made`."""
+    for name in names:
+        if "/" not in name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        else:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -42,6 +56,7 @@ def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"quern_{uuid.uuid4().hex}_{name}"
+    made.append(table)
     df.repartition(n, key).write.option("compression", "zstd").bucketBy(n, key).saveAsTable(table)
     return spark.table(table)
 
@@ -50,5 +65,6 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """As dealt(), but each task deals what it has, so that nothing is shuffled; keys should belong to one task each."""
     spark = df.sparkSession
     table = f"quern_{uuid.uuid4().hex}_{name}"
+    made.append(table)
     df.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(table)
     return spark.table(table)

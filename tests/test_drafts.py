@@ -18,8 +18,9 @@ def test_versions(spark):
     assert [r[0] for r in df.select(versions.in_development(df.v)).collect()] == [True, False, False, False]
     ids = spark.createDataFrame([("tctr_ot_000007",), ("tctr_tr_000009",), ("x",)], "id string")
     assert ids.agg(versions.next_number(F.col("id"), "ot"), versions.next_number(F.col("id"), "tn")).first() == (8, 1)
-    tools = spark.createDataFrame([("a_v1", "1.0.0"), ("a_v1", "2.0.0"), ("a", "2.0.0")], "t string, v string")
-    assert [r[0] for r in tools.select(versions.major_matches(tools.t, tools.v)).collect()] == [True, False, True]
+    tools = spark.createDataFrame([("shop.add.v1", "1.0.0"), ("shop.add.v1", "2.0.0"), ("shop.add", "2.0.0"), ("shop.add.v0", "0.1.0"), ("shop_add_v1", "1.0.0"), ("Shop.add.v1", "1.0.0"), ("shop.add.v1", "x")], "t string, v string")
+    assert [r[0] for r in tools.select(versions.major_matches(tools.t, tools.v)).collect()] == [True] + [False] * 6
+    assert one(spark, versions.change_target(F.lit("tool_removed"))) == "tool_registry_version" and one(spark, versions.change_target(F.lit("x"))) is None
 
 
 def test_addresses(spark):
@@ -29,17 +30,36 @@ def test_addresses(spark):
 
 
 def test_facts_and_fingerprints(spark):
-    content = {"query": "q", "tools": [{"description": "d", "name": "f"}], "fixture_id": "x"}
-    other = content | {"query": "r", "tools": [{"description": "e", "name": "f"}]}
-    df = spark.createDataFrame([(json.dumps(content), json.dumps(other))], "a string, b string")
-    a, b, facts = df.select(drafts.machine_fingerprint(df.a), drafts.machine_fingerprint(df.b), drafts.visible_facts(df.a)).first()
-    assert a == b and "fixture_id" not in json.loads(facts)
+    parameters = {"type": "object", "description": "p", "properties": {"x": {"description": "x"}}}
+    content = {"query": "q", "response": "s", "tools": [{"description": "d", "name": "f", "parameters": parameters}], "calls": [{"arguments": {"description": "one"}}]}
+    words = content | {"query": "r", "response": "t", "tools": [{"description": "e", "name": "f", "parameters": {"type": "object", "properties": {"x": {}}}}]}
+    machine = content | {"calls": [{"arguments": {"description": "two"}}]}
+    df = spark.createDataFrame([tuple(map(json.dumps, (content, words, machine)))], "a string, b string, c string")
+    a, b, c = df.select(*(drafts.machine_fingerprint(df[x]) for x in "abc")).first()
+    assert a == b != c
+    result = {"city": "Bursa", "source": "s", "rows": [{"n": 1, "synthetic": True}, "fixture_9", "plain"], "note": "a mock value", "record_id": 3, "mockup": "fine"}
+    facts = spark.createDataFrame([(json.dumps(result),), ('"a simulation"',), ("[]",)], "a string")
+    told = [r[0] for r in facts.select(drafts.visible_facts(facts.a)).collect()]
+    assert json.loads(told[0]) == {"city": "Bursa", "rows": [{"n": 1}, "plain"], "mockup": "fine"} and told[1:] == ["null", "[]"]
 
 
 def test_plan_verdict(spark):
-    rows = [(["a"], 1, None, "tamam", "passed"), (["a"], 2, None, None, "message_count"), (["a", "b"], 2, "no", None, "clarification"), (["a"], 1, None, "**x**", "markdown"), (["a"], 1, None, "simülasyon", "marker"), (["при"], 1, None, None, "script")]
-    df = spark.createDataFrame(rows, "u array<string>, n int, c string, f string, expected string")
-    assert all(r[0] == r[1] for r in df.select(drafts.plan_verdict(df.u, df.n, df.c, df.f), "expected").collect())
+    rows = [
+        (["a"], False, False, None, "tamam", "passed"), (["a"], True, False, "b", "c", "message_count"), (["a", " "], True, False, "b", "c", "message_count"), (["a", "b"], True, False, None, "c", "intermediate"), (["a"], False, False, "b", "c", "intermediate"),
+        (["a", "b"], True, True, "no", "c", "clarification"), (["a", "b"], True, False, "no", "c", "passed"), (["a"], False, False, None, None, "final"), (["a"], False, False, None, "**x**", "markdown"), (["a"], False, False, None, "a `b", "markdown"),
+        (["a"], False, False, None, "simülasyon", "marker"), (["при"], False, False, None, "c", "script"), (["5 μg"], False, False, None, "5 µg", "passed"), (["a"], False, False, None, "x </Think>", "think_tag"), (["a"], False, False, None, "2024-01-02T10:11", "timestamp"),
+    ]
+    df = spark.createDataFrame(rows, "u array<string>, m boolean, asks boolean, b string, f string, expected string")
+    assert [tuple(r) for r in df.select(drafts.plan_verdict(df.u, df.m, df.asks, df.b, df.f), "expected").collect() if r[0] != r[1]] == []
+
+
+def test_response_selection(spark):
+    rows = [
+        ("en", "{}", True, None, False, None, (None, "language")), ("tr", None, False, "x", False, None, (None, "nothing_verifiable")), ("tr", None, False, "x", True, None, (None, "adaptation_required")), ("tr", None, False, "x", True, "source_answer_adaptation", ("source_answer_adaptation", "human_verification")),
+        ("tr", '{"a":3}', True, "it is 3", True, "source_answer_adaptation", ("source_answer_adaptation", None)), ("tr", '{"a":3}', True, "it is 4", True, "source_answer_adaptation", ("tool_result_regeneration", None)), ("tr", '{"a":3}', True, "it is 3", False, "source_answer_adaptation", (None, "answer_not_verified")), ("tr", '{"a":3}', True, None, None, None, ("tool_result_regeneration", None)),
+    ]
+    df = spark.createDataFrame([r[:6] for r in rows], "l string, r string, v boolean, a string, s boolean, m string")
+    assert [tuple(x[0]) for x in df.select(drafts.response_selection(df.l, df.r, df.v, df.a, df.s, df.m)).collect()] == [r[6] for r in rows]
 
 
 def test_messages(spark):
@@ -58,6 +78,16 @@ def test_judging(spark):
     assert got == {"a": (False, "passed"), "b": (True, "failed"), "c": (True, "not_run"), "d": (False, "not_run")}
 
 
+def test_recommendation(spark):
+    fine = (0, 0, 4.5, 40)
+    rows = [(40, True, fine, fine, "accepted", ""), (29, True, fine, fine, "insufficient_sample", "insufficient_sample"), (40, True, (None,) * 4, fine, "incomplete_model_pair", "incomplete_model_pair"), (40, False, fine, fine, "rejected", "no_judge"), (40, True, (1, 1, 3.9, 38), (0, 0, 4.2, 40), "rejected", "cheap_generation_failed,judge_failed,score_low,score_gap,not_all_passed,pass_gap"), (40, True, (0, 0, None, 40), fine, "rejected", "scores_incomplete")]
+    side = "struct<generation_failed:int,judge_failed:int,mean:double,passes:int>"
+    df = spark.createDataFrame(rows, f"n int, j boolean, a {side}, b {side}, status string, reasons string")
+    as_dict = lambda c: {k: F.col(f"{c}.{k}") for k in ("generation_failed", "judge_failed", "mean", "passes")}
+    got = df.select(quality.recommendation(df.n, df.j, as_dict("a"), as_dict("b")).alias("x"), "status", "reasons").collect()
+    assert [(tuple(r.x), r.status, r.reasons) for r in got if tuple(r.x) != (r.status, r.reasons)] == []
+
+
 def test_summaries(spark):
     scores = spark.createDataFrame([("m", 1, "x", 4), ("m", 2, "x", 5), ("m", 1, "y", 3)], "model string, id int, dimension string, score int")
     assert tuple(quality.model_summary(scores).select("mean", "samples").first()) == (3.75, 2)
