@@ -7,44 +7,81 @@ but the last return the columns of documents. Null and empty texts are rejected
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import packing, parity_join, pii, site_lines, word_perplexity
-from quern.llm.common import table, unique_path
+from quern.llm import packing, parity_join, perplexity, pii, site_lines
+from quern.llm.common import BROADCAST_ROWS, durable, table, unique_path
+from quern.sources import tables
 
 #: Words of a shingle and least similarity of near duplicates here.
 SHINGLE, NUM, DEN = 5, 80, 100
 
 
+#: Tables that the stage before made; its result has been written by the time that the next one begins.
+_before: list[str] = []
+
+
+def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """work, after the tables that the stage before left are gone."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        tables.forget(spark, _before)
+        start = len(tables.made)
+        out = work(spark, docs, sf_dir)
+        _before[:] = tables.made[start:]
+        return out
+
+    return run_stage
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose perplexity is within their language's limit; labels come from sf_dir."""
-    return word_perplexity.judge(docs, table(spark, sf_dir, "labels")).where("__kept").select(*docs.columns)
+    return perplexity.judge(docs, table(spark, sf_dir, "labels")).where("__kept").select(*docs.columns)
 
 
+@stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes boilerplate lines of each source out of its texts; n_chars follows."""
+    """Takes boilerplate lines of each source out of its texts; n_chars follows.
+
+    Null texts and sources, repeated rows and empty tables as in site_lines.drop_boilerplate(); a text of boilerplate
+    alone becomes empty.
+    """
     out = site_lines.drop_boilerplate(docs)
     return out.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each component of near duplicates, and one of rows that repeat it."""
-    groups = parity_join.group(docs, SHINGLE, NUM, DEN)
-    kept = groups.where("doc_id = component_id OR doc_id IS NULL").select("doc_id").distinct()
-    once = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return once.dropDuplicates(["doc_id", "text"])
-
-
+    """Keeps one document of each component of near duplicates: the one with the least doc_id, of rows that repeat it the one with the least digest.
+
+    A null doc_id comes after all others. Documents without words are duplicates of nothing, so of these all stay but
+    repeated rows. Other columns pass through, and don't tell rows apart.
+    """
+    # An id of each row's own: its doc_id from the least on, as text, and its text's digest.
+    place = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.expr("CAST('9223372036854775808' AS DECIMAL(20,0))")).cast("string"), 20, "0")
+    rid = F.concat_ws(":", F.coalesce(place, F.lit("~")), F.coalesce(F.sha2("text", 256), F.lit("")))
+    groups = durable(parity_join.group(docs.select(rid.alias("doc_id"), "text"), SHINGLE, NUM, DEN), "groups")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("rid")).distinct()
+    near = F.broadcast(kept) if kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else kept
+    once = docs.join(near, rid == F.col("rid"), "left_semi")
+    return once.dropDuplicates(["doc_id", "text"]) if groups.select("doc_id").distinct().count() < groups.count() else once
+
+
+@stage
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by marks; n_chars follows."""
+    """Replaces personal data by marks; n_chars follows, and is null for a null text. Repeated rows stay; an empty table gives none."""
     out = pii.redact(docs, pii.fit(docs))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences in length buckets and batches, in place of documents."""
+    """Sequences in length buckets and batches, in place of documents; the rest as in packing.pack()."""
     return packing.pack(docs)
 
 

@@ -79,7 +79,8 @@ def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
 def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its WAV (media), and the time-coded fingerprint read back from it (times, codes).
 
-    A null or empty text is 64 zero bytes. Repeated rows give repeated rows; other columns are ignored.
+    A null or empty text is 64 zero bytes. Repeated rows give repeated rows, an empty table none; of peaks that tie
+    in time the first is one. Other columns are ignored, whatever their names.
     """
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -96,7 +97,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Per document the sizes and digests of payload and media, and a digest of the fingerprint (feature).
 
     feature is the number of pairs, a colon, and the first 32 hex digits of the SHA-256 of times and codes.
-    Nulls, empty texts and repeated rows as in media().
+    Nulls, empty texts, ties, repeated rows, empty tables and other columns as in media().
     """
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:

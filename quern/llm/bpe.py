@@ -118,8 +118,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document the number of tokens and the digests of its ids and of the bytes that they decode to.
 
-    A null or empty text has no tokens, and the digests of nothing. Repeated rows give repeated rows; texts of any
-    length are encoded whole.
+    A null or empty text has no tokens, and the digests of nothing. Repeated rows give repeated rows, an empty table
+    none; texts of any length are encoded whole. Other columns are ignored, whatever their names.
     """
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import durable, words
+from quern.llm.common import BROADCAST_ROWS, durable, words
 
 #: Longer texts are cut into sequences of MAX_LEN tokens; lengths are padded to multiples of GRAIN, so the
 #: histogram has MAX_LEN / GRAIN cells however large the corpus is.
@@ -51,7 +51,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
 
     Tokens are words. Texts over max_len tokens give several sequences; a null or empty text gives one row without
     bucket, batch and slot. batch numbers the batches within a bucket; all but a bucket's last hold
-    floor(budget / bucket_tokens) sequences (at least one). Repeated rows are sequences of their own.
+    floor(budget / bucket_tokens) sequences (at least one). Repeated rows are sequences of their own, and sequences that
+    tie in all these are in no fixed order; an empty table gives none. Other columns are ignored, whatever their names.
     """
     n = F.size(words(F.col(text_col))).cast("long")
     seqs = docs.select(F.col(id_col).alias("doc_id"), n.alias("n"))
@@ -68,7 +69,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     before = Window.partitionBy("bound").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("bound").alias("bound_"), F.col("shard").alias("shard_"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     own = F.row_number().over(Window.partitionBy("bound", "shard").orderBy("doc_id", "chunk", "n_tokens"))
-    placed = dealt.withColumn("own", own).join(F.broadcast(starts), F.col("bound").eqNullSafe(F.col("bound_")) & (F.col("shard") == F.col("shard_")), "left")
+    near = F.broadcast(starts) if (len(bounds) + 1) * shards <= BROADCAST_ROWS else durable(starts, "starts")
+    placed = dealt.withColumn("own", own).join(near, F.col("bound").eqNullSafe(F.col("bound_")) & (F.col("shard") == F.col("shard_")), "left")
     place, tokens = F.col("start") + F.col("own") - 1, F.col("bound") * grain
     room = F.greatest(F.floor(F.lit(budget) / tokens), F.lit(1))
     placed = placed.select("doc_id", "chunk", "n_tokens", tokens.cast("long").alias("bucket_tokens"), place.alias("place"), room.alias("room"))

@@ -91,7 +91,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Per row of docs its counts, base_failed, the rule values, and kept.
 
     kept is false if base_failed, or if a rule's value exceeds its stratum's certified cutoff. A null text counts
-    as empty; null strata are a stratum; repeated rows are judged each; an empty labels table certifies nothing.
+    as empty; null strata are a stratum; repeated rows are judged each; a value that equals a cutoff passes; an empty
+    labels table certifies nothing, and an empty table gives no rows. Other columns are ignored, whatever their names.
     """
     scored = durable(features(docs, id_col, text_col, stratum_col), "rules")
     chosen = durable(cutoffs(scored, labels, alpha, delta), "cutoffs")

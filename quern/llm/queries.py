@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, packing, parity_join, pii, quality_rules, site_lines, substring, toxicity, word_perplexity
+from quern.llm import audio, bpe, packing, parity_join, perplexity, pii, quality_rules, site_lines, substring, toxicity
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
@@ -34,7 +34,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = word_perplexity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_text=False)
+    out = perplexity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep_text=False)
     return out.select("doc_id", "lang", F.col("__n_chars").alias("n_chars"), F.exp("__log_ppl").alias("perplexity"), F.exp("__limit").alias("max_perplexity"), F.col("__kept").alias("kept"))
 
 

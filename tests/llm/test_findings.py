@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter
 
-from quern.llm import audio, pii, toxicity, word_perplexity
+from quern.llm import audio, perplexity, pii, toxicity
 from quern.operators import duplicates, state
 
 
@@ -24,54 +24,11 @@ def test_word_salad_in_any_script_is_rejected(spark):
             if i < 80:
                 marks.append((rows[-1][0], 1))
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string, salad boolean"), spark.createDataFrame(marks, "doc_id long, quality int")
-    out = word_perplexity.judge(docs, labels).collect()
+    out = perplexity.judge(docs, labels).collect()
     assert len(out) == 240 and not any(r["__kept"] for r in out if r.salad)
     assert sum(r["__kept"] for r in out if not r.salad) >= 195
 
 
-def plain_log_ppl(trusted, text):
-    """Perplexity by backing off word by word, over dictionaries; text is none of the trusted ones."""
-    pad = lambda x: ["<s>", "<s>", *word_perplexity.TOKEN.findall(x), "</s>"]
-    three = Counter(tuple(w[i - 2 : i + 1]) for w in map(pad, trusted) for i in range(2, len(w)))
-    levels = {3: three}
-    for k in (2, 1):
-        levels[k] = Counter(g[1:] for g in levels[k + 1])
-
-    def cut(k, n):
-        c = Counter(levels[k].values())
-        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0.5
-        j = min(n, 3)
-        return min(max(j - (j + 1) * y * c[j + 1] / c[j], 0.1), j - 0.1) if c[j] and c[j + 1] else 0.5
-
-    def p(g):
-        k = len(g)
-        if not k:
-            return 1 / (len(levels[1]) + 1)
-        own = {h: n for h, n in levels[k].items() if h[:-1] == g[:-1]}
-        if not own:
-            return p(g[1:])
-        total, n = sum(own.values()), own.get(g, 0)
-        return (n - cut(k, n) if n else 0) / total + sum(cut(k, m) for m in own.values()) / total * p(g[1:])
-
-    w = pad(text)
-    return -sum(math.log(p(tuple(w[i - 2 : i + 1]))) for i in range(2, len(w))) / (len(w) - 2)
-
-
-def test_word_perplexity_equals_plain_backing_off(spark):
-    rng = random.Random(3)
-    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 12))) for _ in range(40)] + ["a b 日本語 a", "x", "a b, c\nd", " \n "]
-    docs = spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts)] + [(90, None, "en"), (91, "", "en"), (0, texts[0], "en")], "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
-    out = word_perplexity.judge(docs, labels, keep_text=False).collect()
-    assert len(out) == len(texts) + 3 and all(r["__log_ppl"] is None and not r["__kept"] for r in out if r.doc_id >= 90)
-    trusted = [*texts[:20], texts[0]]
-    for r in out:
-        if r.doc_id < 90 and texts[r.doc_id] not in trusted:
-            assert abs(r["__log_ppl"] - plain_log_ppl(trusted, texts[r.doc_id])) < 1e-9, r
-    none = word_perplexity.judge(docs, labels.limit(0)).collect()
-    assert all(r["__kept"] == bool(r.text) for r in none)
-
-
 def test_pii_without_digits_and_in_long_tokens(spark):
     assert [c[2] for c in pii.candidates("the password: swordfish and more")] == [0]
     assert [c[2] for c in pii.candidates("write to jane at example dot com")] == [3]
@@ -84,14 +41,13 @@ def test_pii_without_digits_and_in_long_tokens(spark):
     assert spans[0].startswith("secret:14:") and spans[1].startswith("contact:9:") and not spans[2] and not spans[3]
 
 
-def test_pii_labels_need_evidence():
+def test_pii_evidence():
     whole = lambda text, x: (text.index(x), text.index(x) + len(x))
     for text, x, yes in (
         ("to GB82 WEST 1234 5698 7654 32 now", "GB82 WEST 1234 5698 7654 32", 1), ("to GB83 WEST 1234 5698 7654 32 now", "GB83 WEST 1234 5698 7654 32", 0), ("call 555 010 7788 now", "555 010 7788", 1), ("sum 555 010 7788 now", "555 010 7788", 0),
         ("ssn 078-05-1120", "078-05-1120", 1), ("jane at example dot com", "jane at example dot com", 1), ("look at line dot matrix", "look at line dot matrix", 0), ("password: swordfish", "swordfish", 1),
     ):
-        for generator in (0, 3, 4, 5):
-            assert pii.label(text, *whole(text, x), generator, []) == yes, text
+        assert pii.evident(text, *whole(text, x)) == bool(yes), text
 
 
 def test_short_items_are_found_inside_longer_documents(spark):

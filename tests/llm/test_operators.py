@@ -2,14 +2,17 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, fm_index, ngram_quality, packing, parity_join, pii, quality_rules, site_lines, substring, toxicity
+from quern.llm import audio, bpe, fm_index, packing, parity_join, perplexity, pii, quality_rules, site_lines, substring, toxicity
 from quern.llm.queries import RANKS
 from tests.llm.conftest import edge_rows, words
 
@@ -33,8 +36,6 @@ def test_quality_rules_counts(edge, labels):
 
 
 def test_quality_rules_certify_only_with_evidence(spark):
-    from pyspark.sql import functions as F
-
     n = 4000
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.when(F.col("id") % 4 == 0, F.concat(F.lit("*** "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("w"), (k + F.col("id") * 61).cast("string"), F.lit("**"))), " "))).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("w"), (k + F.col("id") * 61).cast("string"))), " ")).alias("text"))
     labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 4 != 0).cast("int").alias("quality"))
@@ -91,6 +92,50 @@ def test_pii_model_adds_secrets(spark):
     assert all(not spans[i] for i in range(600) if i % 3)
 
 
+def test_trees_score_as_the_fitted_model(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(800, 4)).round(1)
+    rows = [(r.tolist(), float(r[0] * r[1] + r[2] > 0.3)) for r in x]
+    df = spark.createDataFrame(rows, "f array<double>, label double").withColumn("features", array_to_vector("f"))
+    model = GBTClassifier(maxIter=8, maxDepth=pii.DEPTH, seed=1).fit(df)
+    own = pii.as_arrays(model, spark).score(x)
+    assert np.allclose(own, [r.probability[1] for r in model.transform(df).collect()], atol=1e-9)
+
+
+def case(kind, rng):
+    """A value in a form of its own for this test, with what stands around it."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    if kind == "secret":
+        return rng.choice([("Password: ", word(5) + digits(4), " was"), ("set API_KEY=", word(10) + digits(9) + word(8), ";"), ('token = "', "".join(rng.choice("0123456789abcdef") for _ in range(40)), '"'), ("pwd=", word(9), " and")])
+    if kind == "contact":
+        return rng.choice([("ask ", f"{word(6)}.{word(5)} at {word(7)} dot com", " for it"), ("", f"{word(6)} (at) {word(5)} (dot) net", " soon"), ("e-mail ", f"{word(3)}ü{word(3)}@{word(6)}.org", " there")])
+    return rng.choice([("call ", f"{rng.randrange(210, 980)}-555-{digits(4)}", " today"), ("his ssn ", f"{rng.randrange(100, 890)}-{digits(2)}-{digits(4)}", " is"), ("Phone: ", f"020 {rng.randrange(1000, 9999)} {digits(4)}", " or"), ("account no ", digits(10), " of")])
+
+
+@pytest.mark.parametrize("n", [40, 1000, 10_000])
+def test_pii_recall_by_kind(spark, n):
+    rng = random.Random(n)
+    vocabulary = ["river", "stone", "window", "garden", "summer", "little", "people", "water", "morning", "evening"]
+    text = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(5, 60)))
+    trees = pii.fit(spark.createDataFrame([(i, text()) for i in range(n)], "doc_id long, text string"))
+    clean = ["the manual, version 4.2.19, of 2021-03-04", "pages 12-19 and 3.1415926", "CC BY-NC 4.0 and Apache License, Version 2.0.", "look at window dot garden here", "snake_case_name_of_things_v2", "a secret: none", "ratio 12/30 at 10:20:30", f"{'word' * 6}7"]
+    for kind in ("secret", "contact", "number"):
+        hit = wrong = 0
+        for _ in range(300):
+            before, x, after = case(kind, rng)
+            whole = f"{text()} {before}{x}{after} {text()}"
+            at = whole.index(before + x) + len(before)
+            (spans,) = pii.find_all([whole], trees)
+            hit += any(pii.overlap((s, e), (at, at + len(x))) >= 0.8 for s, _, e in spans)
+            (none,) = pii.find_all([f"{text()} {rng.choice(clean)} {text()}"], trees)
+            wrong += bool(none)
+        assert hit >= 270 and wrong <= 15, (kind, hit, wrong)
+
+
 def test_bounds_are_optimal():
     rng = random.Random(3)
     for _ in range(60):
@@ -140,33 +185,80 @@ def test_toxicity_learns_and_restores(spark, edge, labels, no_labels, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
-def test_kneser_ney_sums_to_one_and_matches_a_plain_count(spark, edge, labels, no_labels, empty):
-    model = ngram_quality.train(edge, labels)
-    p = np.exp(model.astype(float)).reshape(-1, ngram_quality.CLASSES)
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-3)
-    table = ngram_quality.class_table()
-    out = {r.doc_id: r for r in ngram_quality.judge(edge, labels).collect() if r.doc_id in (3, 14)}
-    for r in out.values():
-        classes = [0] * (ngram_quality.ORDER - 1) + [int(table[ord(c)]) for c in r.text]
-        logs = []
-        for i in range(len(r.text)):
-            code = 0
-            for c in classes[i : i + ngram_quality.ORDER]:
-                code = code * ngram_quality.CLASSES + c
-            logs.append(float(model[code]))
-        assert abs(r["__log_ppl"] + sum(logs) / len(logs)) < 1e-4
-    whole = ngram_quality.judge(edge, labels, keep_text=False)
-    assert whole.count() == len(edge_rows()) and whole.where("doc_id = 5 AND __kept").count() == 0
-    assert ngram_quality.judge(edge, no_labels).where("NOT __kept AND text <> ''").count() == 0
-    assert ngram_quality.judge(empty, labels).count() == 0
+def plain_levels(trusted):
+    """Counts of n-grams by order, continuation counts below the highest."""
+    pad = lambda x: chr(perplexity.START) * (perplexity.ORDER - 1) + x + chr(perplexity.END)
+    k = perplexity.ORDER
+    levels = {k: Counter(t[i - k + 1 : i + 1] for t in map(pad, trusted) for i in range(k - 1, len(t)))}
+    for order in range(k - 1, 0, -1):
+        levels[order] = Counter(g[1:] for g in levels[order + 1])
+    return pad, levels
+
+
+def plain_probability(levels):
+    """P(last character | those before) of an n-gram, backing off one character at a time."""
+
+    def cut(k, n):
+        c = Counter(levels[k].values())
+        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0.5
+        j = min(n, 3)
+        return min(max(j - (j + 1) * y * c[j + 1] / c[j], 0.1), j - 0.1) if c[j] and c[j + 1] else 0.5
+
+    def p(g):
+        if not g:
+            return 1 / (len(levels[1]) + 1)
+        own = {h: n for h, n in levels[len(g)].items() if h[:-1] == g[:-1]}
+        if not own:
+            return p(g[1:])
+        total, n = sum(own.values()), own.get(g, 0)
+        return (n - cut(len(g), n) if n else 0) / total + sum(cut(len(g), m) for m in own.values()) / total * p(g[1:])
+
+    return p
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_perplexity_equals_plain_backing_off(spark, monkeypatch, small):
+    if small:  # many slices and chunks, and no look-up tables
+        monkeypatch.setattr(perplexity, "SLICE", 7)
+        monkeypatch.setattr(perplexity, "LONG", 60)
+        monkeypatch.setattr(perplexity, "CHUNK", 50)
+        monkeypatch.setattr(perplexity, "CELLS", 10)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(1, 90))) for _ in range(60)] + ["a 日本語 \U0001f600 a", "x", "\0ab\0", "a b, c\nd"]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in enumerate(texts)] + [(90, None, "en"), (91, "", "en"), (0, texts[0], "en"), (None, "ab", None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(50)] + [(55, 0), (None, 1), (56, None)], "doc_id long, quality int")
+    out = perplexity.judge(docs, labels, keep_text=False).collect()
+    assert len(out) == len(texts) + 4 and all(r["__log_ppl"] is None and not r["__kept"] for r in out if r.doc_id in (90, 91))
+    folds = {r.doc_id: r.held for r in docs.select("doc_id", (F.pmod(F.xxhash64("text"), F.lit(perplexity.HELD)) == 0).alias("held")).collect()}
+    pad, levels = plain_levels([x.replace("\0", chr(perplexity.NUL)) for i, x in enumerate(texts) if i < 50 and not folds[i]] + ([] if folds[0] else [texts[0]]))
+    p = plain_probability(levels)
+    for r in out:
+        if r.doc_id is not None and r.doc_id < 90:
+            t = pad(texts[r.doc_id].replace("\0", chr(perplexity.NUL)))
+            k = perplexity.ORDER
+            expected = -sum(math.log(p(t[i - k + 1 : i + 1])) for i in range(k - 1, len(t))) / (len(t) - k + 1)
+            assert abs(r["__log_ppl"] - expected) < 1e-6, r
+
+
+def test_perplexity_frames(edge, labels, no_labels, empty):
+    out = perplexity.judge(edge, labels)
+    assert out.columns == [*edge.columns, "__n_chars", "__log_ppl", "__limit", "__kept"]
+    assert pairs(out, *edge.columns) == pairs(edge, *edge.columns)
+    again = perplexity.judge(out.where("doc_id > 5"), labels)
+    assert again.columns == out.columns and again.where("__kept IS NULL").count() == 0
+    assert perplexity.judge(edge, no_labels).where("NOT __kept AND text <> ''").count() == 0
+    assert perplexity.judge(empty, labels).count() == 0
 
 
 def test_site_lines(spark, empty):
-    rows = [(i, "a", f"footer\nown line {i}\n\nshared {i % 30}") for i in range(60)] + [(100 + i, "b", "footer\nx") for i in range(5)] + [(200, None, None), (201, "a", "")]
-    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, source string, text string, host long, lines long")
+    rows = [(i, "a", f"footer\nown line {i}\n\nshared {i % 30}") for i in range(60)] + [(100 + i, "b", "footer\nx") for i in range(5)] + [(200, None, None), (201, "a", ""), (300, "c", "footer"), (301, "c", "footer\nx")]
+    docs = spark.createDataFrame([(*r, 1, 2, "x", 7) for r in rows], "doc_id long, source string, text string, host long, lines long, __lines string, __key int")
     out = {r.doc_id: r for r in site_lines.drop_boilerplate(docs).collect()}
     assert out[3].text == "own line 3\n\nshared 3" and (out[3]["__n_lines"], out[3]["__n_dropped"]) == (3, 1)
-    assert out[100].text == "footer\nx"  # too few pages
+    assert out[100].text == ""  # on each of few pages
+    assert out[300].text == "footer"  # on two pages only
+    again = site_lines.drop_boilerplate(site_lines.drop_boilerplate(docs)).columns
+    assert again == [*docs.columns, "__n_lines", "__n_dropped"]
     assert out[200].text is None and out[201].text == ""
     assert set(docs.columns) < set(site_lines.drop_boilerplate(docs).columns)
     assert site_lines.drop_boilerplate(empty).count() == 0
@@ -204,29 +296,59 @@ def plain_strip(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [1, 500])
+@pytest.mark.parametrize("hot", [False, True])
 def test_substrings_equal_the_plain_version(spark, edge, empty, monkeypatch, hot):
-    monkeypatch.setattr(substring, "HOT", hot)
+    if hot:  # every anchor of a batch is common, so all are dealt window by window
+        monkeypatch.setattr(substring, "HOT", 1)
+        monkeypatch.setattr(substring, "SEEN", 1)
+        monkeypatch.setattr(substring, "SEEN_SHARE", 0)
+    rng = random.Random(21)
     rows = [(r[0], r[1]) for r in edge_rows() if r[0] is not None]
+    passage = [f"p{rng.randrange(50)}" for _ in range(90)]
+    for k in range(60):  # cuts of one passage among other words, some of them twice in a text, and copies of whole texts
+        cut = rng.randrange(60)
+        own = [f"q{rng.randrange(30)}" for _ in range(rng.randrange(40))] + passage[cut : cut + rng.randrange(15, 60)] * rng.choice([1, 1, 2])
+        rows += [(2000 + k, " ".join(own + ["r", "s"] * rng.choice([0, 3, 30])))] + ([(3000 - k, " ".join(own))] if k % 3 == 0 else [])
     expected = plain_strip(dict(rows).items())
-    got = substring.strip(edge).where("doc_id IS NOT NULL").collect()
-    assert len(got) == len(rows) and all(tuple(r) == expected[r.doc_id] for r in got)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = substring.strip(docs).collect()
+    assert len(got) == len(rows) and [tuple(r) for r in got if tuple(r) != expected[r.doc_id]] == []
+    assert sum(r.n_removed > 0 for r in got) > 50
     assert substring.strip(edge).count() == len(edge_rows())
     assert substring.strip(empty).count() == 0
 
 
+def test_batches_agree_on_segments(monkeypatch):
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    alone = substring.segments(h, np.array([400]), 20, 6)
+    other = np.concatenate([rng.integers(0, 1 << 63, 150, dtype=np.uint64), h, h[:30]])
+    among = substring.segments(other, np.array([150, 0, 400, 30]), 20, 6)
+    own = among[2] == 2
+    assert [x.tolist() for x in (alone[0], alone[1], alone[3], alone[4])] == [among[i][own].tolist() for i in (0, 1, 3, 4)]
+    assert sum(alone[4]) == 381 and sum(among[4][among[2] == 0]) == 131 and sum(among[4][among[2] == 3]) == 11
+    values = rng.integers(0, 4, 300, dtype=np.uint64) << np.uint64(30)
+    for width in (1, 2, 7, 15, 16):
+        assert substring.leftmost_least(values, width).tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(300 - width + 1)]
+
+
 def test_fm_index_against_plain_search():
     rng = np.random.default_rng(1)
-    for n in (30, 200):
-        text = rng.integers(0, 4, n)
-        text[-1] = 0
-        index = fm_index.FMIndex(text, 3)
-        starts = np.array([s for s in range(n - 3) if 0 not in text[s : s + 3]])
-        got = dict(zip(*(x.tolist() for x in index.repeats(starts, 3)), strict=True))
-        places = {}
-        for s in starts.tolist():
-            places.setdefault(tuple(text[s : s + 3]), []).append(s)
-        assert got == {s: p[0] for p in places.values() if len(p) > 1 for s in p}
+    for n, most in ((30, 3), (200, 3), (200, 6)):
+        text = rng.integers(1, 5, n)
+        index = fm_index.FMIndex(text)
+        order = sorted(range(n + 1), key=lambda i: text[i:].tolist())
+        assert index.locate(np.arange(n + 1)).tolist() == order
+        stream = np.concatenate([text[5:20], rng.integers(1, 5, 40)])
+        ends = np.arange(most - 1, len(stream))
+        for times in (1, 2):
+            length, low, high = index.matching(stream, ends, most, np.full(len(ends), times))
+            for e, got, a, b in zip(ends.tolist(), length.tolist(), low.tolist(), high.tolist(), strict=True):
+                places = lambda k: [s for s in range(n - k + 1) if text[s : s + k].tolist() == stream[e - k + 1 : e + 1].tolist()]  # noqa: B023, E731
+                assert got == max(k for k in range(most + 1) if k == 0 or len(places(k)) >= times)
+                if got == most:
+                    assert sorted(index.locate(np.arange(a, b)).tolist()) == places(most)
+                    assert index.earliest(np.array([a]), np.array([b])).tolist() == places(most)[:1]
 
 
 def test_bpe_equals_the_library():
@@ -270,9 +392,12 @@ def plain_groups(rows, k, num, den):
     return {i: (i, len(s), find(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize(("k", "num", "den"), [(3, 90, 100), (5, 80, 100)])
-def test_parity_join_equals_all_pairs(spark, edge, empty, k, num, den, monkeypatch):
+@pytest.mark.parametrize(("k", "num", "den", "busy"), [(3, 90, 100, False), (5, 80, 100, True)])
+def test_parity_join_equals_all_pairs(spark, edge, empty, k, num, den, busy, monkeypatch):
     monkeypatch.setattr(parity_join, "HOT_SHARE", 0.0001)
+    if busy:  # every key goes the way of busy ones, large ones are compared in squares, and no text is broadcast
+        for name, value in {"BUSY": 1, "SEEN": 1, "SEEN_SHARE": 0, "FEW": 3, "SQUARE": 5, "BROADCAST_ROWS": 0}.items():
+            monkeypatch.setattr(parity_join, name, value)
     rng = random.Random(k)
     rows = [(r[0], r[1]) for r in edge_rows() if r[0] is not None]
     for g in range(6):

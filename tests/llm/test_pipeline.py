@@ -1,5 +1,7 @@
 """The pipeline over awkward documents, stage by stage and as a whole."""
 
+import hashlib
+
 import corpus_pipeline
 from tests.llm.conftest import edge_rows
 from tests.llm.test_operators import plain_groups
@@ -19,10 +21,13 @@ def test_stages(spark, edge, labels, empty, tmp_path):
 
 
 def test_one_document_of_each_group_stays(spark, edge):
-    docs = edge.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id IS NOT NULL")
-    groups = plain_groups({r[0]: r[1] for r in edge_rows() if r[0] is not None}.items(), 5, 80, 100)
-    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
-    assert kept == sorted({g for _, _, g in groups.values()})
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = edge.select(*columns).union(spark.createDataFrame([(20, "a b c d e f g", "en", "s", 1), (20, "other words than those of the first", "en", "s", 1), (None, "a b c d e f g", None, None, 0), (None, "none has this text", None, None, 0), (-5, "none has this text", None, None, 0)], edge.select(*columns).schema))
+    rows = sorted({(r.doc_id is None, r.doc_id or 0, r.text) for r in docs.collect()}, key=lambda r: (r[0], r[1], hashlib.sha256((r[2] or "").encode()).hexdigest() if r[2] is not None else ""))
+    groups = plain_groups(dict(enumerate(r[2] for r in rows)).items(), 5, 80, 100)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    expected = [(None if rows[i][0] else rows[i][1], rows[i][2]) for i, (_, _, g) in groups.items() if g == i]
+    assert sorted(kept, key=repr) == sorted(expected, key=repr)
 
 
 def test_redaction_leaves_no_base_span(spark, edge):
