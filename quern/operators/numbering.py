@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.sources.tables import durable
+
 
-def numbered(df: DataFrame, order: str, by: list[str] | None = None, width: int = 10_000, name: str = "number") -> DataFrame:
-    """df with the 1-based place of each row in ascending integer order, within by if given.
+def numbered(df: DataFrame, order: str, by: list[str] | None = None, name: str = "number") -> DataFrame:
+    """df with the 1-based place of each row in ascending order, within by if given (nulls are a group of their own).
 
-    Rows are numbered within stretches of `width` values, and the sizes of earlier stretches are added, so no task
-    gets all rows of a group. Rows that tie are numbered in no fixed order.
+    Rows are dealt to ranges and sorted there, so an even number of them is in each task whatever the values are; a
+    row's place is that in its range and the sizes of the ranges before. Rows that tie are numbered in no fixed order.
     """
-    by = by or []
-    at = F.floor(F.col(order) / width).alias("__at")
-    dealt = df.withColumn("__at", at)
-    sizes = dealt.groupBy(*by, "__at").count()
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("__start", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    own = F.row_number().over(Window.partitionBy(*by, "__at").orderBy(order))
-    keys = {c: f"__k{i}" for i, c in enumerate([*by, "__at"])}
-    same = None
-    for c, k in keys.items():
-        one = F.col(c).eqNullSafe(F.col(k))
-        same = one if same is None else same & one
-    out = dealt.withColumn("__own", own).join(starts.withColumnsRenamed(keys), same)
-    return out.withColumn(name, (F.col("__start") + F.col("__own")).cast("long")).drop("__own", "__start", "__at", *keys.values())
+    by, spark = by or [], df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *by, order).sortWithinPartitions(*by, order)
+    placed = durable(dealt.withColumn("__at", F.monotonically_increasing_id()), "ordered")  # written, so that all looks agree
+    placed = placed.withColumns({"__part": F.shiftright("__at", 33), "__own": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__part").count()
+    starts = sizes.select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))  # a row a range
+    out = placed.join(F.broadcast(starts), "__part").withColumn("__place", F.col("__start") + F.col("__own"))
+    if not by:
+        return out.withColumn(name, (F.col("__place") + 1).cast("long")).drop("__at", "__part", "__own", "__start", "__place")
+    keys = {c: f"__k{i}" for i, c in enumerate(by)}
+    firsts = durable(out.groupBy(*by).agg(F.min("__place").alias("__first")), "firsts").withColumnsRenamed(keys)
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()))
+    return out.join(firsts, same).withColumn(name, (F.col("__place") - F.col("__first") + 1).cast("long")).drop("__at", "__part", "__own", "__start", "__place", "__first", *keys.values())
 
 
 def shard_plan(df: DataFrame, order: str, size: int) -> DataFrame:

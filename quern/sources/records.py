@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.jsons import canonical_json
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, raw): lines of the .jsonl files at path (a file, or a folder's own files); blank ones are left out.
@@ -38,3 +42,52 @@ def first_seen(df: DataFrame, key: str, *order: str) -> DataFrame:
     """df with repeat: whether an earlier row has the key. The first is found by a minimum that combines before the shuffle."""
     first = df.groupBy(key).agg(F.min(F.struct(*order)).alias("__first"))
     return df.join(first, key, "left").withColumn("repeat", F.struct(*order) > F.col("__first")).drop("__first")
+
+
+def files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """(path, name) of the files under root, at any depth, whose names fit a glob; their contents aren't read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return found.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
+#: Folders of the states that a record goes through.
+STATES = ("accepted", "needs_revision", "rejected", "staging")
+
+
+def by_state(spark: SparkSession, root: str) -> DataFrame:
+    """(path, name, state): record files under the folders of STATES."""
+    state = F.regexp_extract("path", f"/({'|'.join(STATES)})/", 1)
+    return files(spark, root, "*.{json,jsonl}").withColumn("state", state).where("state <> ''")
+
+
+def line_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, name) of the .jsonl files under root, refused if it holds .json files or a registry among its parts."""
+    found = files(spark, root, "*.{json,jsonl,JSON,JSONL}").withColumn("low", F.lower("name"))
+    wrong = [r["name"] for r in found.where("low LIKE '%.json' OR low = 'registry.jsonl'").select("name").orderBy("low", "name").limit(10).collect()]
+    if wrong:
+        raise ValueError("RECORDS_REFUSED: " + ", ".join(wrong))
+    return found.drop("low")
+
+
+def load(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of the .jsonl files at path; a line that is no record fails all."""
+    good, bad = parse(read_lines(spark, path), schema)
+    first = bad.orderBy("file", "line").limit(10).collect()
+    if first:
+        raise ValueError("RECORDS_REFUSED: " + ", ".join(f"{r['file']}:{r['line']} {r['code']}" for r in first))
+    return good.drop("file", "line", "raw")
+
+
+def write(records: DataFrame, path: str) -> int:
+    """Writes records as JSON lines with sorted keys, nulls included, and returns their number; an existing path is refused."""
+    lines = records.select(canonical_json(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("value"))
+    lines.write.mode("errorifexists").text(path)
+    return records.sparkSession.read.text(path).count()
+
+
+def write_run_log(results: DataFrame, path: str, model: str, run: str) -> None:
+    """Writes a run's results as JSON lines under its model's and its own name, which have to be plain."""
+    for name in (model, run):
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name):
+            raise ValueError(f"RUN_LOG_REFUSED: {name}")
+    results.write.mode("errorifexists").json(f"{path}/{model}/{run}")

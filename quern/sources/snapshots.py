@@ -44,3 +44,12 @@ def check_digests(declared: DataFrame, files: DataFrame) -> DataFrame:
 def check_unique(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that more than one row has."""
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
+
+
+def write_csv(rows: DataFrame, path: str, key: list[str]) -> int:
+    """Writes a snapshot as CSV in the order of its key, over as many files as tasks, and returns its rows; a repeated key is refused."""
+    again = rows.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if again:
+        raise ValueError("SNAPSHOT_REFUSED: repeated key " + "/".join(str(again[0][k]) for k in key))
+    rows.orderBy(*key).write.mode("errorifexists").option("header", "true").csv(path)
+    return rows.sparkSession.read.option("header", "true").csv(path).count()

@@ -89,7 +89,7 @@ def test_evaluation(spark):
 
 def test_numbering_over_stretches(spark):
     df = spark.createDataFrame([(i * 7, "ab"[i % 2]) for i in range(100)], "k long, g string")
-    got = numbering.numbered(df, "k", ["g"], width=50).toPandas().sort_values("k")
+    got = numbering.numbered(df, "k", ["g"]).toPandas().sort_values("k")
     assert all(list(part.number) == list(range(1, 51)) for _, part in got.groupby("g"))
     plan = numbering.shard_plan(df, "k", 30).orderBy("shard").collect()
     assert [(r["first"], r["last"], r["rows"]) for r in plan] == [(0, 30, 30), (30, 60, 30), (60, 90, 30), (90, 100, 10)]
