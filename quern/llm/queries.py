@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, bpe, packing, parity_join, perplexity, pii, quality_rules, site_lines, substring, toxicity
+from quern.llm import audio, best_fit, bpe, packing, parity_join, perplexity, pii, quality_rules, site_lines, substring, toxicity
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: The tokenizer of op13.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +61,10 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.group(table(spark, sf_dir, "documents"))
 
 
+def op13_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_index": op8_fm_index,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_parity_join": op10_parity_join,
+    "op13_dominance_packing": op13_dominance_packing,
 }
 
 ORACLE: dict[str, str] = {
