@@ -25,7 +25,7 @@ from quern.llm.common import BROADCAST_ROWS, arrow_map, arrow_map_all, durable,
 #: Tokens of a sequence, and the id that ends each document.
 MAX_LEN, END = 4096, 1
 #: Words whose ids a worker keeps; it changes no result.
-REMEMBERED = 800_000
+REMEMBERED = 1_500_000
 #: Bits of a rank in keys of (length, rank).
 _RANK_BITS = 44
 #: A run: `items` pieces of one length from rank `first` on, `each` to a sequence from `sequence` on, starting at `offset`.
@@ -35,11 +35,12 @@ RUN = np.dtype([("length", "i8"), ("first", "i8"), ("items", "i8"), ("each", "i8
 class WordIds(dict):
     """Maps a word's bytes to its ids as little-endian 32-bit integers; of() gives the ids of whole texts.
 
-    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words. Words that
-    are new are encoded in one text with a sign between them that none of them holds.
+    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words. It also folds
+    case, and parts letters and digits from signs, so ASCII words are learnt in lower case, and all without a stop after
+    a letter or digit. What is new is encoded in one text with a sign between words that none of them holds.
     """
 
-    SIGN = "\x00"
+    SIGN, STOPS = "\x00", b".,;:!?"
 
     def __init__(self, path: str):
         super().__init__()
@@ -47,30 +48,41 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer.no_truncation()
         (self.sign,) = self._ids(self.SIGN)
+        self.stops = {s: np.array(self._ids(chr(s)), "<u4").tobytes() for s in self.STOPS}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def learn(self, words: set[bytes]) -> None:
-        plain = [w for w in words if b"\x00" not in w]
+        stops, derived, cores = self.STOPS, [], []
+        for w in words:
+            core = w[:-1] if w[-1] in stops and w[-2:-1].isalnum() else w
+            core = core.lower() if core.isascii() else core
+            if core != w:
+                derived.append(w)
+            cores.append(core)
+        new = set(cores).difference(self)
+        plain = [w for w in new if b"\x00" not in w]
         for at in range(0, len(plain), 2000):
             part = plain[at : at + 2000]
             ids = np.array(self._ids(f" {self.SIGN} ".join(w.decode("utf-8", "replace") for w in part)), "<u4")
-            ends = [*np.flatnonzero(ids == self.sign).tolist(), len(ids)]
-            start = 0
-            for w, end in zip(part, ends, strict=True):
-                self[w] = ids[start:end].tobytes()
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(part, [*np.flatnonzero(ids == self.sign).tolist(), len(ids)], strict=True):
+                self[w] = raw[4 * start : 4 * end]
                 start = end + 1
-        for w in words.difference(plain):
+        for w in new.difference(plain):
             self[w] = np.array(self._ids(w.decode("utf-8", "replace")), "<u4").tobytes()
+        for w in derived:
+            core = w[:-1] if w[-1] in stops and w[-2:-1].isalnum() else w
+            own = self[core.lower() if core.isascii() else core]
+            self[w] = own if len(core) == len(w) else own + self.stops[w[-1]]
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [x.split() for x in texts]
-        new = {w for words in split for w in words if w not in self}
-        if len(self) + len(new) > REMEMBERED:
+        words = set().union(*split)
+        if len(self) + len(words) > REMEMBERED and len(self) + len(words.difference(self)) > REMEMBERED:
             self.clear()
-            new = {w for words in split for w in words}
-        self.learn(new)
+        self.learn(words.difference(self))
         for words in split:
             yield b"".join([self[w] for w in words])
 
