@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import audio, best_fit, bpe, packing, parity_join, perplexity, pii, quality_rules, site_lines, substring, toxicity, vector_codes
+from quern.llm import audio, best_fit, bpe, collocations, packing, parity_join, perplexity, pii, quality_rules, site_lines, substring, toxicity, vector_codes
 from quern.llm.common import table
 
 #: The rank file of op9; a path is a parameter of the operator.
@@ -65,6 +65,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_parity_join": op10_parity_join,
     "op11_vector_codes": op11_vector_codes,
+    "op12_collocations": op12_collocations,
     "op13_dominance_packing": op13_dominance_packing,
 }
 
@@ -88,4 +93,5 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op6_site_lines": site_lines.ORACLE,
     "op11_vector_codes": vector_codes.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }
