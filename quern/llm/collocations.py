@@ -28,7 +28,7 @@ UNKNOWN = "und"
 #: Cells of a map of phrases at most; phrases that share a cell are only counted in vain.
 CELLS = 1 << 24
 #: Phrases that a task holds before it hands on what it has counted, and words that it numbers (21 bits).
-HELD, WORDS = 1_500_000, 1 << 20
+HELD, WORDS = 1_000_000, 1 << 19
 #: Bytes that are split at once; more where no piece or word ends.
 PIECE = 4 << 20
 #: Flags of phrases of two words: may begin, may end a phrase that is good enough, and is good enough itself.

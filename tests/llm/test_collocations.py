@@ -45,7 +45,7 @@ def made(rng, n):
 
 
 @pytest.mark.parametrize("top", [3, 25, 2000])
-@pytest.mark.parametrize("piece,held", [(4 << 20, 1_500_000), (20, 60)])
+@pytest.mark.parametrize("piece,held", [(4 << 20, 1_000_000), (20, 60)])
 def test_mined_phrases_equal_a_count_of_all(spark, monkeypatch, top, piece, held):
     monkeypatch.setattr(collocations, "PIECE", piece)
     monkeypatch.setattr(collocations, "HELD", held)
