@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.functions.text import normalized
+from quern.functions.text import entity_shape, normalized
 
 #: Short forms of source types in record ids.
 SOURCE_CODES = {"translated": "tr", "original_turkish": "ot", "turkey_native": "tn"}
@@ -20,6 +22,11 @@ def normalized_hash(text: Column) -> Column:
     return F.sha2(normalized(text), 256)
 
 
+def shape_hash(text: Column, entities: Mapping[str, Sequence[str]]) -> Column:
+    """Digest of the normalized text with entities replaced by their types."""
+    return F.sha2(entity_shape(text, entities), 256)
+
+
 def combined_hash(text: Column, fingerprints: Column) -> Column:
     """Digest of the normalized text with its sorted schema fingerprints; without any, a colon remains."""
     return F.sha2(F.concat(normalized_hash(text), F.lit(":"), F.array_join(F.array_sort(fingerprints), ":")), 256)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,14 +37,65 @@ def normalized(text: Column) -> Column:
     return F.array_join(tokens(text), " ")
 
 
+def compatible(text: str) -> str:
+    """Compatibility-folded, case-folded text, with a dotted i as a plain one."""
+    return unicodedata.normalize("NFKC", text).casefold().replace("i̇", "i")
+
+
+_words = re.compile(r"\w+").findall
+
+
 @F.pandas_udf(T.StringType())
 def normalized_nfkc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Compatibility-folded, case-folded words joined by a space; a null stays null."""
-    import regex
-
-    find = regex.compile(r"\w+").findall
     for s in texts:
-        yield s.map(lambda x: x if x is None else " ".join(find(unicodedata.normalize("NFKC", x).casefold().replace("i̇", "i"))))
+        yield s.map(lambda x: x if x is None else " ".join(_words(compatible(x))))
+
+
+class Shapes:
+    """Puts ` <type> ` in place of entities, longest first and each wherever it stands, one after another.
+
+    One automaton over all values finds those that occur in a text, so that only these are replaced, however many there
+    are. A value may also come up by a replacement, if a mark holds it or it runs into one; these few are always tried.
+    """
+
+    def __init__(self, entities: Mapping[str, Sequence[str]]):
+        pairs = [(compatible(v), f" <{kind}> ") for kind, values in entities.items() for v in values]
+        self.pairs = sorted(((v, mark) for v, mark in pairs if v), key=lambda p: len(p[0]), reverse=True)
+        marks = {mark for _, mark in self.pairs}
+        self.found = ahocorasick.Automaton()
+        self.always = set()
+        for place, (value, _) in enumerate(self.pairs):
+            self.found.add_word(value, [*self.found.get(value, []), place])
+            if any(value in m or m in value or m.endswith(tuple(value[:k] for k in range(1, len(value)))) or m.startswith(tuple(value[k:] for k in range(1, len(value)))) for m in marks):
+                self.always.add(place)
+        if self.pairs:
+            self.found.make_automaton()
+
+    def of(self, text: str) -> str:
+        text = compatible(text)
+        if self.pairs:
+            for place in sorted(self.always.union(*(places for _, places in self.found.iter(text)))):
+                text = text.replace(*self.pairs[place])
+        return " ".join(_words(text))
+
+
+#: Entity values that are sent to every task at most.
+ENTITY_VALUES = 1_000_000
+
+
+def entity_shape(text: Column, entities: Mapping[str, Sequence[str]]) -> Column:
+    """Compatibility-folded words with entities replaced by their types; a null stays null. entities has up to ENTITY_VALUES values."""
+    if sum(map(len, entities.values())) > ENTITY_VALUES:
+        raise ValueError("TOO_MANY_ENTITIES")
+
+    @F.pandas_udf(T.StringType())
+    def shaped(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = Shapes(entities)  # built once a task
+        for s in texts:
+            yield s.map(lambda x: x if x is None else own.of(x))
+
+    return shaped(text)
 
 
 def place(text: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The grammar of versions and of tool ids, and what a change makes move on.
-_SEMVER = r"^(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)(?:-([0-9A-Za-z.-]+))?(?:\+([0-9A-Za-z.-]+))?$"
+_NUMBER, _NAME, _BUILD = "0|[1-9][0-9]*", "[0-9]*[A-Za-z-][0-9A-Za-z-]*", "[0-9A-Za-z-]+"
+_SEMVER = rf"^({_NUMBER})\.({_NUMBER})\.({_NUMBER})(?:-((?:{_NUMBER}|{_NAME})(?:\.(?:{_NUMBER}|{_NAME}))*))?(?:\+({_BUILD}(?:\.{_BUILD})*))?\z"
 
 
 _TOOL_ID = r"^[a-z][a-z0-9_]*\.[a-z][a-z0-9_]*\.v([1-9][0-9]*)$"

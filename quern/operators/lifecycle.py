@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.numbering import numbered
@@ -16,8 +16,10 @@ def export_accepted(records: DataFrame, issues: DataFrame, path: str, columns: l
     accepted = records.where("metadata.review.status = 'accepted'")
     if not accepted.join(issues.select("id").distinct(), "id", "left_semi").isEmpty():
         raise ValueError("EXPORT_BLOCKED: accepted records have issues")
-    (accepted.select(*columns) if columns else accepted).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("errorifexists").text(path)
-    return accepted.count()
+    written = Observation()
+    lines = (accepted.select(*columns) if columns else accepted).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    lines.observe(written, F.count("*").alias("n")).write.mode("errorifexists").text(path)
+    return written.get["n"]
 
 
 def shard_digests(records: DataFrame, order: str, line: str, size: int) -> DataFrame:

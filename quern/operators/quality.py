@@ -22,10 +22,16 @@ def judged(records: DataFrame, first: DataFrame, second: DataFrame, rate: float,
 
 
 def model_summary(scores: DataFrame) -> DataFrame:
-    """(model, samples, mean) from rows (model, id, dimension, score): the mean of a model's rounded means by dimension."""
-    means = scores.groupBy("model", "dimension").agg(F.round(F.avg("score"), 4).alias("m"))
+    """(model, samples, mean) from rows (model, id, dimension, score): the mean of a model's rounded means by dimension.
+
+    Both means are rounded to four places, exactly and with halves away from zero; scores count with six places.
+    """
+    half_up = lambda total, n, unit: F.expr(f"sign({total}) * (2 * abs({total}) * 10000 + {n} * {unit}) div (2 * {n} * {unit})")  # noqa: E731  in ten-thousandths
+    sums = scores.where("score IS NOT NULL").groupBy("model", "dimension").agg((F.sum(F.col("score").cast("decimal(18,6)")) * 1_000_000).cast("decimal(28,0)").alias("total"), F.count("*").cast("decimal(18,0)").alias("n"))
+    means = sums.select("model", half_up("total", "n", 1_000_000).alias("m"))
+    whole = means.groupBy("model").agg(F.sum("m").cast("decimal(28,0)").alias("total"), F.count("*").cast("decimal(18,0)").alias("n"))
     sizes = scores.groupBy("model").agg(F.count_distinct("id").alias("samples"))
-    return means.groupBy("model").agg(F.round(F.avg("m"), 4).alias("mean")).join(sizes, "model")
+    return whole.select("model", (half_up("total", "n", 10_000) / 10_000).cast("double").alias("mean")).join(sizes, "model")
 
 
 def usage(counts: Column) -> Column:

@@ -344,9 +344,10 @@ def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.sum(state.token_estimate(F.col("n_chars"))).alias("estimate"))
 
 
-@query("SELECT source, round(avg(m), 4) AS overall FROM (SELECT source, round(avg(quality), 4) AS m FROM labels JOIN documents USING (doc_id) GROUP BY source UNION ALL SELECT source, round(avg(1 - toxic), 4) FROM labels JOIN documents USING (doc_id) GROUP BY source) GROUP BY source")
+@query("""WITH m AS (SELECT source, (20000 * sum(quality) + count(*)) // (2 * count(*)) AS m FROM labels JOIN documents USING (doc_id) GROUP BY source UNION ALL SELECT source, (20000 * sum(1 - toxic) + count(*)) // (2 * count(*)) FROM labels JOIN documents USING (doc_id) GROUP BY source)
+SELECT source, ((2 * sum(m) + count(*)) // (2 * count(*))) / 10000.0 AS overall FROM m GROUP BY source""")
 def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean of rounded means of two scores by source."""
+    """Mean of rounded means of two scores by source, in whole ten-thousandths with halves up on both sides."""
     both = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
     scores = both.select(F.col("source").alias("model"), F.col("doc_id").alias("id"), F.explode(F.array(F.struct(F.lit("quality").alias("dimension"), F.col("quality").alias("score")), F.struct(F.lit("clean").alias("dimension"), (1 - F.col("toxic")).alias("score")))).alias("s")).select("model", "id", "s.*")
     return quality.model_summary(scores).select(F.col("model").alias("source"), F.col("mean").alias("overall"))

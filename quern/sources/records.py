@@ -4,26 +4,54 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions.jsons import canonical_json
+from quern.operators.numbering import numbered
+from quern.sources.tables import durable
+
+#: Splits of files that are broadcast; more are joined by a shuffle.
+SPLITS = 500_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, raw): lines of the .jsonl files at path (a file, or a folder's own files); blank ones are left out.
 
-    Each file is one row until it is split, since line numbers need its start; shards of a corpus are bounded files.
+    Spark cuts files into splits at line ends, so a file may be larger than a task. A line's number is its place in its
+    split and the lines of the splits before it.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(path)
-    split = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.posexplode(F.split(F.decode("content", "UTF-8"), "\r\n|\n|\r")).alias("at", "raw"))
-    return split.select("file", (F.col("at") + 1).alias("line"), "raw").where(F.trim("raw") != "")
+    text = spark.read.option("pathGlobFilter", "*.jsonl").text(path).withColumn("m", F.col("_metadata"))
+    own = text.select(F.col("m.file_path").alias("path"), F.col("m.file_name").alias("file"), F.col("m.file_block_start").alias("start"), F.col("value").alias("raw"), F.monotonically_increasing_id().alias("at"))
+    own = durable(own, "lines")  # written once, so that all looks agree on the places
+    splits = own.groupBy("path", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = durable(splits.select("path", "start", (before - F.col("first")).alias("shift")), "splits")
+    near = F.broadcast(starts) if starts.limit(SPLITS + 1).count() <= SPLITS else starts.hint("merge")
+    return own.join(near, ["path", "start"]).select("file", (F.col("at") + F.col("shift") + 1).alias("line"), "raw").where(F.trim("raw") != "")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, raw): the .json files at path, whole, with a null line."""
+    """(file, line, raw): the .json files at path, whole, with a null line; each has to fit a task."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(None).cast("int").alias("line"), F.decode("content", "UTF-8").alias("raw"))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.lit(None).cast("long").alias("line"), F.decode("content", "UTF-8").alias("raw"))
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, raw): rows of the .jsonl and .json files at path by their lines, or their places in a file's list; a single object is row 1."""
+    v = F.try_parse_json("raw")
+    listed = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
+    whole = read_documents(spark, path).select("file", "raw", listed.alias("rows"))
+    single = whole.where("rows IS NULL").select("file", F.lit(1).cast("long").alias("number"), "raw")
+    inner = whole.where("rows IS NOT NULL").select("file", F.posexplode(F.transform("rows", F.to_json)).alias("at", "raw")).select("file", (F.col("at") + 1).cast("long").alias("number"), "raw")
+    return read_lines(spark, path).withColumnRenamed("line", "number").unionByName(single).unionByName(inner)
+
+
+def record_files(spark: SparkSession, path: str) -> DataFrame:
+    """(place, path, name) of the record files at path, a folder's own or the one, in order of their names without case, then as written."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{json,jsonl,JSON,JSONL,Json,Jsonl}").load(path)
+    named = found.select("path", F.element_at(F.split("path", "/"), -1).alias("name")).withColumn("__order", F.struct(F.lower("name"), "name"))
+    return numbered(named, "__order", name="place").select("place", "path", "name")
 
 
 def parse(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -81,8 +109,9 @@ def load(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write(records: DataFrame, path: str) -> int:
     """Writes records as JSON lines with sorted keys, nulls included, and returns their number; an existing path is refused."""
     lines = records.select(canonical_json(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("value"))
-    lines.write.mode("errorifexists").text(path)
-    return records.sparkSession.read.text(path).count()
+    written = Observation()
+    lines.observe(written, F.count("*").alias("n")).write.mode("errorifexists").text(path)
+    return written.get["n"]
 
 
 def write_run_log(results: DataFrame, path: str, model: str, run: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 POPULATION = "province STRING, year INT, population BIGINT"
@@ -51,5 +51,6 @@ def write_csv(rows: DataFrame, path: str, key: list[str]) -> int:
     again = rows.groupBy(*key).count().where("count > 1").limit(1).collect()
     if again:
         raise ValueError("SNAPSHOT_REFUSED: repeated key " + "/".join(str(again[0][k]) for k in key))
-    rows.orderBy(*key).write.mode("errorifexists").option("header", "true").csv(path)
-    return rows.sparkSession.read.option("header", "true").csv(path).count()
+    written = Observation()
+    rows.orderBy(*key).observe(written, F.count("*").alias("n")).write.mode("errorifexists").option("header", "true").csv(path)
+    return written.get["n"]

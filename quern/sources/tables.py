@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a local folder where nothing is set, as in tests."""
+    """spark.checkpoint.dir; where nothing is set a local folder if all runs on this machine, as in tests, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("SHARED_FOLDER_UNSET: set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="quern-checkpoint-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -53,18 +56,13 @@ def forget(spark: SparkSession, names: list[str]) -> None:
 
 def dealt(df: DataFrame, key: str, name: str) -> DataFrame:
     """df as a table that is dealt over buckets by key: what joins it on the key doesn't shuffle it again."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"quern_{uuid.uuid4().hex}_{name}"
-    made.append(table)
-    df.repartition(n, key).write.option("compression", "zstd").bucketBy(n, key).saveAsTable(table)
-    return spark.table(table)
+    return bucketed(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key), key, name)
 
 
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """As dealt(), but each task deals what it has, so that nothing is shuffled; keys should belong to one task each."""
     spark = df.sparkSession
-    table = f"quern_{uuid.uuid4().hex}_{name}"
-    made.append(table)
-    df.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(table)
+    path, table = unique_path(spark, name), f"quern_{uuid.uuid4().hex}_{name}"
+    made.extend((path, table))  # the table is of files elsewhere, so both are to be deleted
+    df.write.option("compression", "zstd").option("path", path).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(table)
     return spark.table(table)
