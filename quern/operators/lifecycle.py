@@ -102,3 +102,59 @@ def run_job(rows: DataFrame, done: DataFrame, process: Callable[[DataFrame], Dat
     A failed item is a row with an error and stops nothing. Appended to the checkpoint, the result resumes the job.
     """
     return process(rows.join(done.select(index), index, "left_anti"))
+
+
+PARTS = "index LONG, line STRING"
+
+
+def _refused(rows: DataFrame, code: str) -> None:
+    """ValueError with the first ten indexes of rows, if there are any."""
+    first = [str(r["index"]) for r in rows.select("index").orderBy("index").limit(10).collect()]
+    if first:
+        raise ValueError(f"{code}: {', '.join(first)}")
+
+
+def parts_at(spark: SparkSession, path: str) -> DataFrame:
+    """(index, line) of the parts that have been written at path; none where nothing has."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(PARTS).parquet(path) if there else spark.createDataFrame([], PARTS)
+
+
+def write_parts(rows: DataFrame, path: str) -> int:
+    """Adds parts (index, line) of a job to those at path and returns how many are new.
+
+    A part that is there already with the same line is passed over, so a job that was killed can send all again; one
+    with another line, or two lines for an index, are refused before anything is written. Each call's files appear
+    together or not at all, as Spark's committer moves them when the job is done. Lines aren't null.
+    """
+    own = rows.select(F.col("index").cast("long").alias("index"), "line").distinct()
+    _refused(own.groupBy("index").count().where("count > 1 OR index IS NULL"), "PART_REPEATED")
+    before = parts_at(rows.sparkSession, path).withColumnRenamed("line", "was")
+    both = own.join(before, "index", "left")
+    _refused(both.where("was <> line"), "PART_DIFFERS")
+    written = Observation()
+    both.where("was IS NULL").select("index", "line").observe(written, F.count("*").alias("n")).write.mode("append").parquet(path)
+    return written.get["n"]
+
+
+def assemble(spark: SparkSession, path: str, total: int, out: str, size: int = 10_000) -> DataFrame:
+    """Writes the parts at path as text in order of index and returns the digests of their shards.
+
+    Refused unless each index from 0 to total - 1 has its part. Each file holds a stretch of indexes, and files sort by
+    name as their stretches do. Text that is there already is kept if it is the same, and an error otherwise.
+    """
+    parts = parts_at(spark, path)
+    found = parts.agg(F.count("*").alias("n"), F.count_distinct("index").alias("own"), F.min("index").alias("low"), F.max("index").alias("high")).first()
+    if (found["n"], found["own"]) != (total, total) or total and (found["low"], found["high"]) != (0, total - 1):
+        raise ValueError(f"ASSEMBLY_REFUSED: {found['own']} of {total} parts, {found['low']} to {found['high']}")
+    wanted = shard_digests(parts, "index", "line", size)
+    place = spark._jvm.org.apache.hadoop.fs.Path(out)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        parts.repartitionByRange("index").sortWithinPartitions("index").select("line").write.text(out)
+        return wanted
+    lines = spark.read.text(out).select(F.struct(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("at"), F.col("value").alias("line"))
+    there = shard_digests(numbered(lines, "at").withColumn("index", F.col("number") - 1), "index", "line", size)
+    if not there.exceptAll(wanted).isEmpty() or not wanted.exceptAll(there).isEmpty():
+        raise ValueError(f"ASSEMBLY_DIFFERS: {out}")
+    return wanted

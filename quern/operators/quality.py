@@ -26,7 +26,7 @@ def model_summary(scores: DataFrame) -> DataFrame:
 
     Both means are rounded to four places, exactly and with halves away from zero; scores count with six places.
     """
-    half_up = lambda total, n, unit: F.expr(f"sign({total}) * (2 * abs({total}) * 10000 + {n} * {unit}) div (2 * {n} * {unit})")  # noqa: E731  in ten-thousandths
+    half_up = lambda total, n, unit: F.expr(f"CASE WHEN {total} < 0 THEN -1 ELSE 1 END * ((2 * abs({total}) * 10000 + {n} * {unit}) div (2 * {n} * {unit}))")  # noqa: E731  in ten-thousandths
     sums = scores.where("score IS NOT NULL").groupBy("model", "dimension").agg((F.sum(F.col("score").cast("decimal(18,6)")) * 1_000_000).cast("decimal(28,0)").alias("total"), F.count("*").cast("decimal(18,0)").alias("n"))
     means = sums.select("model", half_up("total", "n", 1_000_000).alias("m"))
     whole = means.groupBy("model").agg(F.sum("m").cast("decimal(28,0)").alias("total"), F.count("*").cast("decimal(18,0)").alias("n"))

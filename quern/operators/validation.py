@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.hashing import valid_record_id
-from quern.functions.jsons import same_value, schema_issues, without_descriptions
+from quern.functions.jsons import same_value, schema_issues, schema_problems, without_descriptions
 from quern.functions.text import markers
 from quern.functions.versions import major_matches
 from quern.sources.schemas import GATES
@@ -117,7 +119,7 @@ def tool_issues(shaped_records: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def registry_issues(registry: DataFrame) -> DataFrame:
-    """(tool_id, code): repeated ids and names, and modes, versions and domains that don't fit."""
+    """(tool_id, code): repeated ids and names, modes, versions and domains that don't fit, and schemas that are none."""
     twice = lambda key, code: registry.join(registry.groupBy(F.col(key).alias("__k")).count().where("count > 1"), F.col(key) == F.col("__k"), "left_semi").select("tool_id", F.lit(code).alias("code"))
     own = F.split_part("tool_id", F.lit("."), F.lit(1))
     broken = {
@@ -125,5 +127,8 @@ def registry_issues(registry: DataFrame) -> DataFrame:
         "TOOL_MAJOR_MISMATCH": ~major_matches(F.col("tool_id"), F.col("tool_version")),
         "TOOL_DOMAIN_MISMATCH": (F.col("domain") != own) | ~F.col("function.name").startswith(F.concat(own, F.lit("_"))),
     }
+    held = [c for c in ("function.parameters", "output_schema") if "." in c and "parameters" in registry.schema["function"].dataType.names or c in registry.columns]
+    if held:
+        broken["INVALID_JSON_SCHEMA"] = reduce(lambda a, b: a | b, (F.size(schema_problems(F.col(c))) > 0 for c in held))
     rules = F.array_compact(F.array(*(F.when(when, F.lit(code)) for code, when in broken.items())))
     return registry.select("tool_id", F.explode(rules).alias("code")).unionByName(twice("tool_id", "DUPLICATE_TOOL_ID")).unionByName(twice("function.name", "DUPLICATE_FUNCTION_NAME"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import hashing, jsons, text
-from quern.operators import duplicates, scanning, similarity
+from quern.functions import hashing, jsons
+from quern.operators import duplicates, lifecycle, numbering, scanning, similarity
 from quern.plans.catalog import NORM, query, table
+from quern.sources import foreign, records
+from quern.sources.tables import unique_path
 
 #: Fixed values of the queries here: entities by type, some inside others and one inside a type's own name.
 ENTITIES = {"article": ["the", "der", "die", "das", "le", "la", "The"], "relation": ["of", "of the", "und", "de"], "ending": ["tion", "ing"]}
@@ -100,3 +102,65 @@ def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values by lists of keys and places, from the front and from the back."""
     at = lambda place: jsons.value_at(F.col("tree"), ["talk", "turns", place, "said", "words", 0], as_text=True)
     return _trees(spark, sf_dir).select("conv_id", at(1).alias("second"), at(-1).alias("last"))
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place, CAST(n_chars AS BIGINT) AS n_chars FROM documents WHERE text IS NOT NULL")
+def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as record files in order and read again: a line's file and number tell its place."""
+    docs, path = table(spark, sf_dir, "documents").where("text IS NOT NULL"), unique_path(spark, "lines")
+    docs.orderBy("doc_id").select(F.to_json(F.struct("doc_id", "text")).alias("value")).write.text(path)
+    lines = records.read_lines(spark, path, "*.txt").withColumn("at", F.struct("file", "line"))
+    v = F.parse_json("raw")
+    return numbering.numbered(lines, "at", name="place").select(F.variant_get(v, "$.doc_id", "long").alias("doc_id"), "place", F.length(F.variant_get(v, "$.text", "string")).cast("long").alias("n_chars"))
+
+
+@query("SELECT CAST(o_orderkey // 500 AS BIGINT) AS shard, count(*) AS records, sha256(string_agg(sha256(o_orderkey || ' ' || o_orderstatus), chr(10) ORDER BY o_orderkey)) AS digest FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS o_orderkey, o_orderstatus FROM orders) GROUP BY 1")
+def assembled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as parts of a job that is run twice, the first time for finished ones alone, and assembled in order."""
+    rows = numbering.numbered(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey").select((F.col("number") - 1).alias("index"), F.concat((F.col("number") - 1).cast("string"), F.lit(" "), "o_orderstatus").alias("line"))
+    path = unique_path(spark, "parts")
+    first = lifecycle.write_parts(rows.where("line LIKE '% F'"), path)
+    total = first + lifecycle.write_parts(rows, path)
+    return lifecycle.assemble(spark, path, total, f"{path}-text", 500).select("shard", "records", "digest")
+
+
+def _loose_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, number, raw): parts as rows of a foreign dataset, tools in both dialects; each eleventh has no query."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    nested = F.concat(F.lit('{"name":"f'), key, F.lit('","description":"d","parameters":{"type":"dict","properties":{"a":{"type":"int","maximum":'), size, F.lit('}},"required":["a"]}}'))
+    flat = F.concat(F.lit('{"name":"f'), key, F.lit('","description":"d","parameters":{"a":{"type":"int","maximum":'), size, F.lit(',"required":true}}}'))
+    query_text = F.when(F.col("p_partkey") % 11 == 0, " ").otherwise(F.concat(F.lit("what of "), key))
+    raw = F.concat(F.lit('{"query":"'), query_text, F.lit('","tools":['), F.when(F.col("p_partkey") % 2 == 0, nested).otherwise(flat), F.lit('],"answers":[{"name":"f'), key, F.lit('","arguments":"{\\"a\\":'), size, F.lit('}"}]}'))
+    return table(spark, sf_dir, "part").select(F.lit("parts.jsonl").alias("file"), F.col("p_partkey").alias("number"), raw.alias("raw"))
+
+
+_ITEMS = """i AS (SELECT p_partkey, p_size, printf('row-%06d', p_partkey) AS example_id,
+'{"decision":"tool_call","missing_parameters":[],"query":"what of ' || p_partkey || '","response":null,CALLS,"tools":[{"description":"d",TOOL}]}' AS content,
+'{"decision":"tool_call","missing_parameters":[],CALLS,"tools":[{TOOL}]}' AS machine FROM part)"""
+_ITEMS = _ITEMS.replace("CALLS", """"tool_calls":[{"arguments":{"a":' || p_size || '},"name":"f' || p_partkey || '"}]""")
+_ITEMS = _ITEMS.replace("TOOL", """"name":"f' || p_partkey || '","parameters":{"additionalProperties":false,"properties":{"a":{"maximum":' || p_size || ',"type":"integer"}},"required":["a"],"type":"object"}""")
+
+
+@query(f"WITH {_ITEMS} SELECT p_partkey AS number, CASE WHEN p_partkey % 11 <> 0 THEN example_id END AS example_id, CASE WHEN p_partkey % 11 <> 0 THEN content END AS content, CASE WHEN p_partkey % 11 <> 0 THEN sha256(machine) END AS machine_fingerprint, CASE WHEN p_partkey % 11 = 0 THEN 'SOURCE_QUERY_INVALID' END AS code FROM i")
+def work_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a foreign dataset as work items, and what keeps some from being any."""
+    items, issues = foreign.work_items(_loose_rows(spark, sf_dir), "xlam", "train")
+    none = F.lit(None).cast("string")
+    good = items.select(F.col("source.row_number").alias("number"), F.col("source.example_id").alias("example_id"), "content", F.col("localization.machine_fingerprint").alias("machine_fingerprint"), none.alias("code"))
+    return good.unionByName(issues.select("number", none.alias("example_id"), none.alias("content"), none.alias("machine_fingerprint"), "code"))
+
+
+@query(f"""WITH {_ITEMS}, k AS (SELECT *, p_partkey % 7 AS k FROM i WHERE p_partkey % 11 <> 0),
+c AS (SELECT *, CASE k WHEN 1 THEN 'PATCH_MISSING' WHEN 2 THEN 'PATCH_NAMES_DIFFER' WHEN 3 THEN 'PATCH_TEXT_BLANK' WHEN 4 THEN 'PATCH_REPEATED' WHEN 5 THEN 'PATCH_ACTOR_MISSING' END AS code FROM k)
+SELECT example_id, code, CASE WHEN code IS NULL THEN replace(replace(replace(content, 'what of', 'ya'), '"description":"d"', '"description":"araç"'), '"a":{{"maximum"', '"a":{{"description":"sayı","maximum"') END AS localized_content FROM c""")
+def localized_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work items with the texts of their patches, and why some patches don't fit."""
+    items = foreign.work_items(_loose_rows(spark, sf_dir), "xlam", "train")[0]
+    number = F.col("source.row_number")
+    k, key = number % 7, number.cast("string")
+    name = F.when(k == 2, F.lit("other")).otherwise(F.concat(F.lit("f"), key))
+    raw = F.concat(F.lit('{"source_example_id":"'), F.col("source.example_id"), F.lit('","query":"ya '), key, F.lit('","actor_id":"'), F.when(k == 5, "").otherwise("p"), F.lit('","provider":"m","tool_descriptions":{"'), name, F.lit('":"araç"},"parameter_descriptions":{"'), name, F.lit('":{"a":"'), F.when(k == 3, " ").otherwise("sayı"), F.lit('"}}}'))
+    patches = items.where(k != 1).select(F.explode(F.when(k == 4, F.array(raw, raw)).otherwise(F.array(raw))).alias("raw"))
+    done, issues = foreign.localized(items, patches, "2026-01-01T00:00:00Z")
+    good = done.select(F.col("source.example_id").alias("example_id"), F.lit(None).cast("string").alias("code"), "localized_content")
+    return good.unionByName(issues.select(F.col("source_example_id").alias("example_id"), "code", F.lit(None).cast("string").alias("localized_content")))

@@ -15,13 +15,13 @@ from quern.sources.tables import durable
 SPLITS = 500_000
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, names: str = "*.jsonl") -> DataFrame:
     """(file, line, raw): lines of the .jsonl files at path (a file, or a folder's own files); blank ones are left out.
 
     Spark cuts files into splits at line ends, so a file may be larger than a task. A line's number is its place in its
     split and the lines of the splits before it.
     """
-    text = spark.read.option("pathGlobFilter", "*.jsonl").text(path).withColumn("m", F.col("_metadata"))
+    text = spark.read.option("pathGlobFilter", names).text(path).withColumn("m", F.col("_metadata"))
     own = text.select(F.col("m.file_path").alias("path"), F.col("m.file_name").alias("file"), F.col("m.file_block_start").alias("start"), F.col("value").alias("raw"), F.monotonically_increasing_id().alias("at"))
     own = durable(own, "lines")  # written once, so that all looks agree on the places
     splits = own.groupBy("path", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
@@ -43,7 +43,7 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     listed = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
     whole = read_documents(spark, path).select("file", "raw", listed.alias("rows"))
     single = whole.where("rows IS NULL").select("file", F.lit(1).cast("long").alias("number"), "raw")
-    inner = whole.where("rows IS NOT NULL").select("file", F.posexplode(F.transform("rows", F.to_json)).alias("at", "raw")).select("file", (F.col("at") + 1).cast("long").alias("number"), "raw")
+    inner = whole.where("rows IS NOT NULL").select("file", F.posexplode(F.transform("rows", lambda r: F.to_json(r))).alias("at", "raw")).select("file", (F.col("at") + 1).cast("long").alias("number"), "raw")
     return read_lines(spark, path).withColumnRenamed("line", "number").unionByName(single).unionByName(inner)
 
 
