@@ -6,6 +6,7 @@ but the last return the columns of documents. Null and empty texts are rejected
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -20,20 +21,34 @@ from quern.sources import tables
 SHINGLE, NUM, DEN = 5, 80, 100
 
 
-#: Tables that the stage before made; its result has been written by the time that the next one begins.
-_before: list[str] = []
+#: Names a stage's result in the metadata of its first column, which Parquet keeps; the tables that each result is made of.
+MARK = "quern.result"
+_made_of: dict[str, list[str]] = {}
+
+
+def _release(spark: SparkSession, docs: DataFrame) -> None:
+    """Deletes the tables that docs were made of, if docs are a stage's result that was written and read again.
+
+    A result that hasn't been written still reads its tables, so it, and any other, is left alone.
+    """
+    owned = _made_of.get(docs.schema[0].metadata.get(MARK, ""))
+    if owned:
+        folders = {name.rsplit("/", 1)[-1] for name in owned if "/" in name}
+        if not any(folders & set(file.split("/")) for file in docs.inputFiles()):
+            tables.forget(spark, _made_of.pop(docs.schema[0].metadata[MARK]))
 
 
 def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """work, after the tables that the stage before left are gone."""
+    """work, after the tables of the result that it goes on from are gone; its own stay until its result has been written and read."""
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        tables.forget(spark, _before)
-        start = len(tables.made)
+        _release(spark, docs)
+        start, name = len(tables.made), uuid.uuid4().hex
         out = work(spark, docs, sf_dir)
-        _before[:] = tables.made[start:]
-        return out
+        _made_of[name] = tables.made[start:]
+        first = out.schema[0]
+        return out.withMetadata(first.name, first.metadata | {MARK: name})
 
     return run_stage
 
@@ -59,7 +74,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates: the one with the least doc_id, of rows that repeat it the one with the least digest.
 
-    A null doc_id comes after all others. Documents without words are duplicates of nothing, so of these all stay but
+    An empty table gives none. A null doc_id comes after all others. Documents without words are duplicates of nothing, so of these all stay but
     repeated rows. Other columns pass through, and don't tell rows apart.
     """
     # An id of each row's own: its doc_id from the least on, as text, and its text's digest.
@@ -98,10 +113,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each but the last is written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each but the last is written to the shared folder, and deleted once the next one is."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         path = unique_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        tables.forget(spark, before)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
