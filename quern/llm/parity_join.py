@@ -296,7 +296,7 @@ def verify(pairs: DataFrame, docs: DataFrame, least: DataFrame, k: int, num: int
     """The pairs that link, by their whole shingle sets, which one document of each class gives once more.
 
     Up to BROADCAST_ROWS such documents are broadcast by their ids, so that no text is shuffled; more meet the texts in a
-    shuffled join.
+    shuffled join. A class of which no document has an id is found by its name among those without ids.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     chosen = durable(least.join(wanted, "cls", "left_semi").select("cls", F.col("least").alias("__id")), "chosen")
@@ -309,8 +309,15 @@ def verify(pairs: DataFrame, docs: DataFrame, least: DataFrame, k: int, num: int
             own = [i for i, (name, s) in enumerate(zip(names, sets, strict=True)) if digest(s) == name]  # rows of a repeated doc_id may have other texts
             yield {"cls": [names[i] for i in own], "shingles": [sets[i].view(np.int64) for i in own]}
 
+    def named(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part in slices(batch, 8 << 20):
+            yield {"cls": [digest(shingle_set(x, k)) for x in part.column(0).to_pylist()], "text": part.column(0)}
+
     near = F.broadcast(chosen) if n <= BROADCAST_ROWS else chosen.hint("shuffle_hash")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("text")).join(near, "__id").select("cls", "text")
+    if not chosen.where("__id IS NULL").isEmpty():
+        nameless = arrow_map(docs.where(F.col(id_col).isNull()).select(F.col(text_col).cast("binary").alias("text")), named, "cls long, text binary")
+        texts = texts.unionByName(nameless.join(near.where("__id IS NULL").select("cls"), "cls", "left_semi"))
     sets = durable(arrow_map(texts, step, "cls long, shingles array<long>"), "sets")
     if sets.count() > n:  # repeated rows
         sets = sets.dropDuplicates(["cls"])
@@ -363,7 +370,7 @@ def group(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN, id_col: s
     """Per row of docs: doc_id, n_shingles, and component_id, the least doc_id that links reach, its own included.
 
     A null or empty text, or one without words, has no shingles and no links. Equal sets link. Rows that repeat a
-    doc_id are rows of their own; null ids stay null and name no component that has another. Other columns are ignored.
+    doc_id are rows of their own; null ids stay null and name no component that has another. Other columns are ignored. An empty table gives none.
     """
     rows, links = link(docs, k, num, den, id_col, text_col)
     comps = components(links)

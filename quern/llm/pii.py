@@ -35,7 +35,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _ANY = re.compile(r"[0-9@]")
 #: Generators: what they propose, and the kind of a span chosen from them.
 GENERATORS = (
-    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([^\s\"',;]{6,})")),
+    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{6,})")),
     ("secret", re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])([A-Za-z0-9_/+-]{16,}={0,2})(?![A-Za-z0-9_/+-])")),
     ("contact", re.compile(r"(?<![^\s\"'(<\[])([^\s@\"'(<\[]+@[^\s@\"')>\]]*[^\s@\"')>\].,;:!?])")),
     ("contact", re.compile(r"(?i)(?<![a-z0-9._%+-])([a-z0-9._%+-]+ ?[\[(]? ?\bat\b ?[\])]? ?[a-z0-9-]+(?: ?[\[(]? ?\bdot\b ?[\])]? ?[a-z0-9-]+)+)")),

@@ -115,7 +115,7 @@ def restore(token: str, model: list, spaced: bool = False) -> str:
 
 
 def undoubled(word: str) -> Iterator[str]:
-    """word with some of its double letters made single, in all ways."""
+    """word with some of its double letters made single, in all ways; of more than ten the first ten, as each doubles the ways."""
     at = [m.start() for m in _DOUBLE.finditer(word)][:10]
     for n in range(1, len(at) + 1):
         for drop in itertools.combinations(at, n):

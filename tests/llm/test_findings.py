@@ -90,3 +90,19 @@ def test_spaced_and_doubled_words_are_restored(spark):
         assert word in {w for w, _ in own.of(x)}, x
     for x in ("letter summer little", "a b c d e f", "1 2 3 4 5", "* * * * * " * 5000):
         assert not own.of(x), x
+
+
+def test_hidden_values_after_any_space():
+    assert [c[2] for c in pii.candidates("password:" + " " * 40 + "hunter22 and")] == [0]
+
+
+def test_links_through_documents_without_ids(spark):
+    from quern.llm import parity_join
+
+    words = [f"w{k}" for k in range(100)]
+    texts = {1: words, None: [*words[:-1], "x"], 3: ["y", *words[1:-1], "x"]}
+    rows = [(i, " ".join(w)) for i, w in texts.items()] + [(None, "else " + " ".join(words[:50])), (None, None), (None, ""), (9, "else " + " ".join(words[:50]))]
+    for copies in (1, 40):
+        got = parity_join.group(spark.createDataFrame(rows + [rows[1]] * (copies - 1), "doc_id long, text string"), 3, 90, 100).collect()
+        found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr)
+        assert found == sorted([(1, 98, 1), (3, 98, 1), (9, 49, 9), (None, 49, 9), (None, 0, None), (None, 0, None), *[(None, 98, 1)] * copies], key=repr)

@@ -37,3 +37,23 @@ def test_redaction_leaves_no_base_span(spark, edge):
     out = corpus_pipeline.redaction(spark, docs, "").collect()
     assert len(out) == len(edge_rows()) and not any(base_spans(r.text or "") for r in out)
     assert all(r.n_chars == len(r.text) for r in out if r.text is not None)
+
+
+def test_results_outlive_other_stages_and_other_runs(spark, edge, labels, tmp_path):
+    docs, d = edge.select("doc_id", "text", "lang", "source", "n_chars"), str(tmp_path)
+    docs.write.parquet(f"{d}/documents.parquet")
+    labels.write.parquet(f"{d}/labels.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    first = corpus_pipeline.quality(spark, docs, d)
+    second = corpus_pipeline.near_duplicates(spark, docs, d)
+    chained = corpus_pipeline.lines(spark, first, d)  # not written in between
+    n = first.count()
+    assert chained.count() == n and second.count() > 0
+    path = str(tmp_path / "written")
+    first.write.parquet(path)
+    made = [x for x in corpus_pipeline._made_of[first.schema[0].metadata[corpus_pipeline.MARK]] if "/" in x]
+    assert made
+    assert corpus_pipeline.lines(spark, spark.read.parquet(path), d).count() == n
+    assert first.schema[0].metadata[corpus_pipeline.MARK] not in corpus_pipeline._made_of and second.count() > 0
+    one, two = corpus_pipeline.run(spark, d), corpus_pipeline.run(spark, d)
+    assert one.count() == two.count() > 0
