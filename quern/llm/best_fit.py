@@ -12,6 +12,7 @@ from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ class WordIds(dict):
 
     The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words. It also folds
     case, and parts letters and digits from signs, so ASCII words are learnt in lower case, and all without a stop after
-    a letter or digit. What is new is encoded in one text with a sign between words that none of them holds.
+    a letter or digit. What is new is encoded in one text: a word of ASCII letters ends with the first id that ends a word,
+    others with a sign between words that none of them holds.
     """
 
     SIGN, STOPS = "\x00", b".,;:!?"
@@ -47,44 +49,64 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer.no_truncation()
-        (self.sign,) = self._ids(self.SIGN)
+        (sign,) = self._ids(self.SIGN)
+        vocabulary = self.tokenizer.get_vocab()
+        self.sign, self.last = np.zeros((2, max(vocabulary.values()) + 1), bool)
+        self.sign[sign] = True
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.stops = {s: np.array(self._ids(chr(s)), "<u4").tobytes() for s in self.STOPS}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def keep(self, words: list[bytes], text: str, ends: np.ndarray, signs: int) -> None:
+        """Keeps the ids of words from a text that holds them in order; each word's ids go up to one that ends says, less as many signs."""
+        ids = np.array(self._ids(text), "<u4")
+        raw, start = ids.tobytes(), 0
+        for w, end in zip(words, (4 * (np.flatnonzero(ends[ids]) + 1)).tolist(), strict=True):
+            self[w] = raw[start : end - 4 * signs]
+            start = end
+
     def learn(self, words: set[bytes]) -> None:
-        stops, derived, cores = self.STOPS, [], []
+        stops, plain, derived, cores = self.STOPS, [], [], []
         for w in words:
             core = w[:-1] if w[-1] in stops and w[-2:-1].isalnum() else w
             core = core.lower() if core.isascii() else core
-            if core != w:
+            if core == w:
+                plain.append(w)
+            else:
                 derived.append(w)
-            cores.append(core)
-        new = set(cores).difference(self)
-        plain = [w for w in new if b"\x00" not in w]
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            ids = np.array(self._ids(f" {self.SIGN} ".join(w.decode("utf-8", "replace") for w in part)), "<u4")
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(part, [*np.flatnonzero(ids == self.sign).tolist(), len(ids)], strict=True):
-                self[w] = raw[4 * start : 4 * end]
-                start = end + 1
-        for w in new.difference(plain):
-            self[w] = np.array(self._ids(w.decode("utf-8", "replace")), "<u4").tobytes()
-        for w in derived:
-            core = w[:-1] if w[-1] in stops and w[-2:-1].isalnum() else w
-            own = self[core.lower() if core.isascii() else core]
-            self[w] = own if len(core) == len(w) else own + self.stops[w[-1]]
+                cores.append(core)
+        new = [*plain, *set(cores).difference(self, plain)]
+        letters = [w for w in new if w.isalpha()]
+        for at in range(0, len(letters), 2000):
+            self.keep(letters[at : at + 2000], b" ".join(letters[at : at + 2000]).decode(), self.last, 0)
+        rest = [w for w in new if not w.isalpha()]
+        for at in range(0, len(rest), 2000):
+            part = [w for w in rest[at : at + 2000] if b"\x00" not in w]
+            self.keep(part, f" {self.SIGN} ".join([w.decode("utf-8", "replace") for w in [*part, b""]]), self.sign, 1)
+            for w in rest[at : at + 2000]:
+                if b"\x00" in w:
+                    self[w] = np.array(self._ids(w.decode("utf-8", "replace")), "<u4").tobytes()
+        for w, core in zip(derived, cores):
+            self[w] = self[core] if len(core) == len(w) else self[core] + self.stops[w[-1]]
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [x.split() for x in texts]
-        words = set().union(*split)
-        if len(self) + len(words) > REMEMBERED and len(self) + len(words.difference(self)) > REMEMBERED:
-            self.clear()
-        self.learn(words.difference(self))
-        for words in split:
-            yield b"".join([self[w] for w in words])
+        words = list(chain.from_iterable(split))
+        ids = list(map(self.get, words))
+        if None in ids:
+            places = [i for i, x in enumerate(ids) if x is None]
+            new = {words[i] for i in places}
+            if len(self) + len(new) > REMEMBERED:
+                self.clear()
+            self.learn(new)
+            for i in places:
+                ids[i] = self[words[i]]
+        at = 0
+        for own in split:
+            yield b"".join(ids[at : at + len(own)])
+            at += len(own)
 
 
 @cache
