@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from quern.plans import catalog, records  # noqa: F401
+from quern.plans import catalog, chains, records, scans  # noqa: F401
 
 
 @pytest.fixture(scope="module")
