@@ -28,7 +28,9 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    out = packing.batches(table(spark, sf_dir, "documents"), WORD_BPE)
+    each = out.select("bucket_tokens", "batch", F.posexplode(F.arrays_zip("doc_id", "chunk", "n_tokens", "ids")).alias("slot", "x"))
+    return each.select("x.doc_id", "x.chunk", "x.n_tokens", "bucket_tokens", "batch", F.col("slot").cast("long").alias("slot"), F.crc32("x.ids").alias("ids_crc32"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

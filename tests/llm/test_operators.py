@@ -163,6 +163,29 @@ def test_packing_is_whole_and_within_budget(edge, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_batches_hold_every_token_within_budget(edge, empty):
+    from tokenizers import Tokenizer
+
+    from quern.llm.best_fit import END
+    from quern.llm.queries import WORD_BPE
+
+    encode = Tokenizer.from_file(WORD_BPE).encode
+    found, seen = [], set()
+    for b in packing.batches(edge, WORD_BPE, budget=512, max_len=100, pad=7).collect():
+        assert (b.bucket_tokens, b.batch) not in seen and (len(b.ids) * b.bucket_tokens <= 512 or len(b.ids) == 1)
+        seen.add((b.bucket_tokens, b.batch))
+        for doc, chunk, n, ids in zip(b.doc_id, b.chunk, b.n_tokens, b.ids, strict=True):
+            row = np.frombuffer(ids, "<u4").tolist()
+            assert len(row) == b.bucket_tokens and row[n:] == [7] * (len(row) - n)
+            found.append((doc is None, doc or 0, chunk, row[:n]))
+    wanted = []
+    for doc, text, *_ in edge_rows():
+        ids = [*encode(text or "", add_special_tokens=False).ids, END]
+        wanted += [(doc is None, doc or 0, k, ids[at : at + 100]) for k, at in enumerate(range(0, len(ids), 100))]
+    assert sorted(found) == sorted(wanted)
+    assert packing.batches(empty, WORD_BPE).count() == 0
+
+
 def test_toxicity_learns_and_restores(spark, edge, labels, no_labels, empty):
     rng = random.Random(4)
     vocabulary = ["river", "stone", "window", "garden", "summer", "little", "people", "water", "morning", "evening", "paper", "yellow"]
