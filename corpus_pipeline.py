@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import packing, parity_join, perplexity, pii, site_lines
 from quern.llm.common import BROADCAST_ROWS, durable, table, unique_path
+from quern.llm.queries import WORD_BPE
 from quern.sources import tables
 
 #: Words of a shingle and least similarity of near duplicates here.
@@ -96,8 +97,8 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences in length buckets and batches, in place of documents; the rest as in packing.pack()."""
-    return packing.pack(docs)
+    """Batches of token ids by length buckets, in place of documents, a row a batch; the rest as in packing.batches()."""
+    return packing.batches(docs, WORD_BPE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
