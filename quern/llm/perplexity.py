@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,9 +23,9 @@ from quern.llm.common import bucketed, durable, join_small, ship
 
 #: Characters of the longest n-grams; what stands before each text (ORDER - 1 times) and after it; a NUL in a text counts as the third.
 ORDER, START, END, NUL = 5, 2, 3, 1
-#: Documents of a slice at most, none of it from another task; those with more than LONG characters are dealt to
-#: SPREAD_LONG slices of their own. Small slices would ask for common n-grams over and over.
-SLICE, LONG, SPREAD_LONG = 16_384, 1 << 18, 63
+#: Characters of a slice, whose last document may reach beyond; small tables get a slice a core, of LEAST_SLICE characters
+#: at least. A slice's documents come from one task. Small slices would ask for common n-grams over and over.
+SLICE, LEAST_SLICE = 48_000_000, 1_000_000
 #: Characters that are looked at at once, and cells of a look-up table; they change no result.
 CHUNK, CELLS = 2_500_000, 1 << 24
 #: Of trusted texts one in HELD, by a hash of the text, is held out of the model; limits are quantiles over these.
@@ -182,13 +183,28 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, float]:
 
 def slices_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, whole: bool) -> DataFrame:
     """docs in a table that is dealt by slices, as they come, without a shuffle: __slice, __place in it, id, lang, text, and with whole all columns in `row`."""
-    row, size = F.monotonically_increasing_id(), F.coalesce(F.length(text_col), F.lit(0))
-    slice_ = F.floor(row / SLICE) * (SPREAD_LONG + 1) + F.when(size > LONG, 1 + F.pmod(row, F.lit(SPREAD_LONG))).otherwise(0)
     columns = [F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")]
     if whole:
         columns.append(F.struct(*(c for c in docs.columns if c != text_col)).alias("row"))
-    docs = docs.coalesce(max(1, -(-docs.count() // SLICE)))  # small tasks share a slice
-    return bucketed(docs.select(slice_.cast("long").alias("__slice"), F.pmod(row, F.lit(SLICE)).cast("int").alias("__place"), *columns), "__slice", "slices")
+    total, cores = docs.agg(F.sum(F.length(text_col))).first()[0] or 0, docs.sparkSession.sparkContext.defaultParallelism
+    size = max(LEAST_SLICE, min(SLICE, -(-total // cores)))
+    docs = docs.coalesce(max(1, -(-total // size))).select(*columns)  # small tasks share a slice
+    schema = T.StructType([T.StructField("__slice", T.LongType()), T.StructField("__place", T.IntegerType()), *docs.schema])
+    return bucketed(docs.mapInArrow(lambda batches: cut(batches, size), schema), "__slice", "slices")
+
+
+def cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """A task's rows with the number of their slice, which is no other task's, and their place in it; a slice is full once it holds size characters."""
+    task, number, place, held = TaskContext.get().partitionId() << 32, 0, 0, 0
+    for batch in batches:
+        slices, places = [], []
+        for n in pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist():
+            if held >= size:
+                number, place, held = number + 1, 0, 0
+            slices.append(task + number)
+            places.append(place)
+            place, held = place + 1, held + n + 1
+        yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int64()), pa.array(places, pa.int32()), *batch.columns], names=["__slice", "__place", *batch.schema.names])
 
 
 def limits(scored: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
@@ -209,7 +225,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The model is trained on the texts that a label calls good (quality 1), but for the held-out ones. A row is kept if
     its log perplexity is at most its language's limit. Null and empty texts have no perplexity and are not kept. Null
-    languages are a language. Without held-out rows there is no limit, and every text with a character is kept.
+    languages are a language. A text longer than a slice is a slice by itself or the last of one. Without held-out rows there is no limit, and every text with a character is kept.
     Repeated rows are judged each, and an empty table gives no rows; other columns pass through, whatever their names,
     but for those named as the four, which are replaced.
     """

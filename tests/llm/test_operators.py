@@ -242,8 +242,8 @@ def plain_probability(levels):
 @pytest.mark.parametrize("small", [False, True])
 def test_perplexity_equals_plain_backing_off(spark, monkeypatch, small):
     if small:  # many slices and chunks, and no look-up tables
-        monkeypatch.setattr(perplexity, "SLICE", 7)
-        monkeypatch.setattr(perplexity, "LONG", 60)
+        monkeypatch.setattr(perplexity, "SLICE", 60)
+        monkeypatch.setattr(perplexity, "LEAST_SLICE", 60)
         monkeypatch.setattr(perplexity, "CHUNK", 50)
         monkeypatch.setattr(perplexity, "CELLS", 10)
     rng = random.Random(3)

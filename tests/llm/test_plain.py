@@ -6,8 +6,9 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from quern.llm import audio, toxicity
+from quern.llm import audio, perplexity, toxicity
 
 
 def choices(token, i, spaced):
@@ -97,3 +98,15 @@ def test_peaks_and_pairs_equal_plain_transforms():
                     pairs.append((t, f * 2**13 + f2 * 2**5 + t2 - t))
         times, codes = audio.fingerprint(samples)
         assert list(zip(times.tolist(), codes.tolist(), strict=True)) == sorted(pairs)
+
+
+def test_slices_are_bounded_by_characters(spark, monkeypatch):
+    monkeypatch.setattr(perplexity, "SLICE", 1000)
+    monkeypatch.setattr(perplexity, "LEAST_SLICE", 1000)
+    docs = spark.createDataFrame([(i, "x" * (5000 if i == 7 else i % 90), "en") for i in range(400)] + [(None, None, None)] * 2, "doc_id long, text string, lang string")
+    cut = perplexity.slices_of(docs, "doc_id", "text", "lang", True).select("__slice", "__place", F.length("text").alias("n"), "id", "row.doc_id").collect()
+    assert sorted(r.id or -1 for r in cut) == sorted([*range(400), -1, -1]) and all(r.id == r.doc_id for r in cut)
+    assert len({(r["__slice"], r["__place"]) for r in cut}) == len(cut)
+    for name in {r["__slice"] for r in cut}:
+        own = sorted((r["__place"], r.n or 0) for r in cut if r["__slice"] == name)
+        assert [p for p, _ in own] == list(range(len(own))) and sum(n for _, n in own[:-1]) < 1000
