@@ -35,28 +35,41 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _ANY = re.compile(r"[0-9@]")
 #: Generators: what they propose, and the kind of a span chosen from them.
 GENERATORS = (
-    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{6,})")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])([A-Za-z0-9_/+-]{16,}={0,2})(?![A-Za-z0-9_/+-])")),
+    ("secret", re.compile(r"(?i)(?<![a-z])(?:password|passwd|passphrase|passcode|pwd|secret|token|(?:api|access|private|secret)[ _-]?key)(?:\s*[=:]\s*|\s+(?:is|was)\s+)[\"']?([^\s\"',;]{6,})")),
+    # Signed tokens of several parts, keys with a known prefix, and long runs with a digit.
+    ("secret", re.compile(r"(?<![A-Za-z0-9_/+-])(eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+|(?:gh[pousr]_|AKIA|sk_)[A-Za-z0-9_]{12,}|(?=[A-Za-z_/+-]*[0-9])[A-Za-z0-9_/+-]{16,}={0,2})(?![A-Za-z0-9_/+-])")),
     ("contact", re.compile(r"(?<![^\s\"'(<\[])([^\s@\"'(<\[]+@[^\s@\"')>\]]*[^\s@\"')>\].,;:!?])")),
     ("contact", re.compile(r"(?i)(?<![a-z0-9._%+-])([a-z0-9._%+-]+ ?[\[(]? ?\bat\b ?[\])]? ?[a-z0-9-]+(?: ?[\[(]? ?\bdot\b ?[\])]? ?[a-z0-9-]+)+)")),
+    ("contact", re.compile(r"(?i)(?<![a-z0-9._%+-])([a-z0-9.%+-]+_at_[a-z0-9-]+(?:_dot_[a-z0-9-]+)+)(?![a-z0-9_])")),
     ("number", re.compile(r"(?<![A-Za-z0-9])([(]?[0-9](?:[\x20().-]{0,3}[0-9]){5,})(?![A-Za-z0-9])")),
     # Account numbers of 15 to 34 characters, as their standard has it.
     ("number", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){10,30})(?![A-Za-z0-9])")),
     ("number", re.compile(r"(?<![A-Za-z0-9.])([0-9]+(?:[.:/-][0-9]+)+)(?![A-Za-z0-9])")),
+    ("number", re.compile(r"(?<![A-Za-z0-9])([A-Z]{1,2}[0-9]{7,8})(?![A-Za-z0-9])")),  # passports
 )
 #: What a text must hold for each generator, as its pattern requires it: this saves time and loses nothing.
-NEEDS = tuple(map(re.compile, ("[=:]", "[0-9]", "@", "[dD][oO][tT]", "[0-9]", "[0-9]", "[0-9]")))
+NEEDS = tuple(map(re.compile, ("[=:]|(?:is|was)\\s", "[0-9]|eyJ|gh[pousr]_|AKIA|sk_", "@", "[dD][oO][tT]", "_[dD][oO][tT]_", "[0-9]", "[0-9]", "[0-9]", "[0-9]")))
 #: Words before a candidate that hint at a value of some kind.
-HINTS = tuple(map(re.compile, (r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|key)\W*$", r"(?i)(?:e-?mail|contact|write)\W*$", r"(?i)(?:phone|call|tel|fax|mobile)\W*$", r"(?i)(?:card|account|iban|ssn|id|number|no)\W*$", r"(?i)(?:version|section|v|license|page|by-nc)\W*$")))
+HINTS = tuple(
+    map(
+        re.compile,
+        (
+            r"(?i)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|key)(?:\s+(?:is|was))?\W*$", r"(?i)(?:e-?mail|contact|write)\W*(?:to\W*)?$", r"(?i)(?:phone|call|tel|fax|mobile|reach|dial|ring)\W*(?:me|us|him|her|them)?\W*(?:on|at)?\W*$",
+            r"(?i)(?:card|account|iban|ssn|id|number|no|passport)\W*$", r"(?i)(?:version|section|v|license|page|by-nc)\W*$", r"(?i)(?:born|birth|birthday|dob)\W*(?:on\W*)?$",
+        ),
+    )
+)
 #: Formats that vouch for themselves, and others that do after a hint: what a text itself holds of these isn't taken for a look-alike.
-_VOUCHED = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|[0-9a-f]{32,64}")
-_SPELLED = re.compile(r"(?i).*\bdot\b ?[\])]? ?(?:com|org|net|edu|gov|info|io|[a-z]{2})")
+_VOUCHED = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+|[0-9a-f]{32,64}")
+_SPELLED = re.compile(r"(?i).*(?:\b|_)dot(?:\b|_) ?[\])]? ?(?:com|org|net|edu|gov|info|io|[a-z]{2})")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}")
 _LOCAL_PHONE = re.compile(r"[(]?[0-9](?:[\x20().-]{0,3}[0-9]){6,14}")
-_ID = re.compile(r"[0-9](?:[\x20./-]?[0-9]){5,19}")
+_ID = re.compile(r"[A-Z]{0,2}[0-9](?:[\x20./-]?[0-9]){5,19}")
 #: The end of an address.
-_DOMAIN_END = re.compile(r"(?i)(?:\bdot\b|\.)\W*(?:com|org|net|edu|gov|info|io|[a-z]{2})$")
-FEATURES = 24
+_DOMAIN_END = re.compile(r"(?i)(?:(?:\b|_)dot(?:\b|_)|\.)\W*(?:com|org|net|edu|gov|info|io|[a-z]{2})$")
+_SIGN = re.compile(r"[=:\"']\s*$")
+_DATE = re.compile(r"[0-9]{1,4}([./-])[0-9]{1,2}\1[0-9]{1,4}")
+FEATURES = 27
 
 
 def luhn(digits: str) -> bool:
@@ -111,8 +124,8 @@ def describe(text: str, start: int, end: int) -> list[float]:
     shares = [x.count(c) / n for c in set(x)]
     runs = re.split(r"[^0-9A-Za-z]+", x)
     before = text[max(0, start - 24) : start]
-    form = [n, len(digits), count(str.isdigit), count(str.isupper), count(str.islower), count(lambda c: c in "0123456789abcdef"), -sum(p * math.log2(p) for p in shares), len(runs), max(map(len, runs)), "@" in x, x.startswith("+"), x.count("."), x.count("-"), x.count(" "), bool(digits) and luhn(digits), bool(re.search(r"[0-9][A-Za-z]|[A-Za-z][0-9]", x)), bool(_DOMAIN_END.search(x))]
-    context = [*(bool(h.search(before)) for h in HINTS), before[-1:] in "=:\"'", text[end : end + 1].isalnum()]
+    form = [n, len(digits), count(str.isdigit), count(str.isupper), count(str.islower), count(lambda c: c in "0123456789abcdef"), -sum(p * math.log2(p) for p in shares), len(runs), max(map(len, runs)), "@" in x, x.startswith("+"), x.count("."), x.count("-"), x.count(" "), bool(digits) and luhn(digits), bool(re.search(r"[0-9][A-Za-z]|[A-Za-z][0-9]", x)), bool(_DOMAIN_END.search(x)), bool(_DATE.fullmatch(x)), bool(_VOUCHED.fullmatch(x))]
+    context = [*(bool(h.search(before)) for h in HINTS), bool(_SIGN.search(before)), text[end : end + 1].isalnum()]
     return [float(v) for v in (*form, *context)]
 
 
@@ -125,10 +138,10 @@ def iban(x: str) -> bool:
 def evident(text: str, start: int, end: int) -> bool:
     """Whether a span's own format, or a key or hint before it with a format, speaks for it, whatever proposed it."""
     x, before = text[start:end], text[max(0, start - 24) : start]
-    key, _, phone, number, version = (bool(h.search(before)) for h in HINTS)
+    key, _, phone, number, version, born = (bool(h.search(before)) for h in HINTS)
     if _VOUCHED.fullmatch(x) or iban(x) or _SPELLED.fullmatch(x):
         return True
-    return not version and (key and len(x) >= 6 and not x[0].isspace() or phone and bool(_LOCAL_PHONE.fullmatch(x)) or number and bool(_ID.fullmatch(x)))
+    return not version and (key and len(x) >= 6 and not x[0].isspace() or phone and bool(_LOCAL_PHONE.fullmatch(x)) or number and bool(_ID.fullmatch(x)) or born and bool(_DATE.fullmatch(x)))
 
 
 def overlap(a: tuple[int, int], b: tuple[int, int]) -> float:
@@ -137,12 +150,12 @@ def overlap(a: tuple[int, int], b: tuple[int, int]) -> float:
     return max(0, shared) / (max(a[1], b[1]) - min(a[0], b[0]))
 
 
-def examples(text: str, rng: random.Random) -> list[tuple[str, list[float], float]]:
+def examples(text: str, rng: random.Random, held: bool = False) -> list[tuple[str, list[float], float]]:
     """Kinds, features and labels of the candidates in a text with planted values: 1 for those that hit a value or a base span, else 0.
 
     What the text itself holds of values isn't known, so a candidate of its own with evidence for it is left out.
     """
-    whole, true, false = planted(text, rng)
+    whole, true, false = planted(text, rng, held)
     base, out = base_spans(whole), []
     for start, end, generator in candidates(whole):
         touch = lambda spans: any(overlap((start, end), s) > 0 for s in spans)  # noqa: B023, E731
@@ -185,6 +198,8 @@ def as_arrays(model: GBTClassificationModel, spark: SparkSession) -> Trees:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Trees | None:
     """Boosted trees fitted on candidates in texts with planted values, and thresholds calibrated by kind on the fifth of them that is held out.
 
+    Held-out texts have values and look-alikes in forms (keys, leads, formats) that no other text has.
+
     Planting doesn't depend on what the texts hold, so small and large tables give like models; a null text counts as
     empty. None for an empty table: then no spans are added to the base ones.
     """
@@ -194,7 +209,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tree
             rows, labels, kinds, folds = [], [], [], []
             for text, turn in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 seed = int.from_bytes(hashlib.sha256(f"{turn}:{text}".encode("utf-8", "replace")).digest()[:8], "little")
-                for kind, f, y in examples(text, random.Random(seed)):
+                for kind, f, y in examples(text, random.Random(seed), seed % 5 == 0):
                     rows.append(f)
                     labels.append(y)
                     kinds.append(kind)

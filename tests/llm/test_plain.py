@@ -105,7 +105,7 @@ def test_slices_are_bounded_by_characters(spark, monkeypatch):
     monkeypatch.setattr(perplexity, "LEAST_SLICE", 1000)
     docs = spark.createDataFrame([(i, "x" * (5000 if i == 7 else i % 90), "en") for i in range(400)] + [(None, None, None)] * 2, "doc_id long, text string, lang string")
     cut = perplexity.slices_of(docs, "doc_id", "text", "lang", True).select("__slice", "__place", F.length("text").alias("n"), "id", "row.doc_id").collect()
-    assert sorted(r.id or -1 for r in cut) == sorted([*range(400), -1, -1]) and all(r.id == r.doc_id for r in cut)
+    assert sorted(-1 if r.id is None else r.id for r in cut) == sorted([*range(400), -1, -1]) and all(r.id == r.doc_id for r in cut)
     assert len({(r["__slice"], r["__place"]) for r in cut}) == len(cut)
     for name in {r["__slice"] for r in cut}:
         own = sorted((r["__place"], r.n or 0) for r in cut if r["__slice"] == name)
