@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators import calls, dataflow, plan_rules
+from quern.operators import calls, comparison, dataflow, plan_rules
 from quern.plans.catalog import query, table
 from quern.plans.records import CALL_SCHEMA
 from quern.sources import schemas
@@ -202,3 +202,40 @@ def record_schema_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _text('{"id":', id_, ",", kind, tag, '"version":"', F.when(_mod(id_, 5) == 0, "0.2.0").otherwise("0.1.0"), '","k":', k, F.when(_mod(id_, 7) == 0, ',"more":1').otherwise(""), F.when(_mod(id_, 13) == 0, "").otherwise("}"))
     found = plan_rules.raw_schema_issues(table(spark, sf_dir, "events").select(id_.alias("id"), raw.alias("raw")), EVENT_SCHEMA)
     return found.select("id", F.concat_ws(" ", "code", "path").alias("issue"))
+
+
+_COMPARED = """e AS (SELECT o_orderkey AS id, m.model, o_custkey AS c, 'tctr_' || CASE WHEN o_custkey % 2 = 0 THEN 'ot' ELSE 'tn' END || '_' || printf('%06d', row_number() OVER (PARTITION BY m.model, o_custkey % 2 ORDER BY o_orderkey)) AS record_id,
+  o_orderkey % 10 <> 0 OR m.model = 'strong' AS made, o_orderkey % 13 = 0 AS broken, o_orderkey % 7 <> 0 AS seen, o_orderkey % 11 = 0 AS mute, CASE WHEN o_orderkey % CASE m.model WHEN 'strong' THEN 4 ELSE 3 END > 0 THEN 'pass' ELSE 'revise' END AS verdict
+  FROM orders, (VALUES ('cheap'), ('strong')) m(model)),
+s AS (SELECT *, made AND NOT broken AS ok, made AND NOT broken AND seen AND NOT mute AS good, made AND NOT broken AND seen AND mute AS lost FROM e)"""
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as plans for two models, whose generations and judgments follow the orders' numbers."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id")
+    key, strong = F.col("id"), F.col("model") == "strong"
+    each = orders.withColumn("model", F.explode(F.array(F.lit("cheap"), F.lit("strong"), F.lit("absent"))))
+    whole = lambda a, b: F.create_map(F.lit("input_tokens"), a.cast("long"), F.lit("output_tokens"), b.cast("long"))
+    generations = each.where((_mod(key, 10) != 0) | strong).select("id", "model", F.when(_mod(key, 13) == 0, "refused").alias("error"), whole(F.col("o_custkey"), _mod(key, 100)).alias("usage"))
+    verdict = F.when(_mod(key, 3) > 0, "pass").otherwise("revise")
+    scores = F.create_map(F.lit("clarity"), (_mod(key, 5) + 1).cast("double"), F.lit("tone"), (_mod(F.col("o_custkey"), 5) + 1).cast("double"))
+    judgments = each.where(_mod(key, 7) != 0).select("id", "model", F.when(_mod(key, 11) == 0, "timeout").alias("error"), F.when(strong, F.when(_mod(key, 4) > 0, "pass").otherwise("revise")).otherwise(verdict).alias("verdict"), scores.alias("scores"), whole(key, F.lit(7)).alias("usage"))
+    plans = orders.select("id", F.when(_mod(F.col("o_custkey"), 2) == 0, "original_turkish").otherwise("turkey_native").alias("source_type"))
+    return comparison.entries(plans, ["cheap", "strong"], generations, judgments)
+
+
+@query(f"""WITH {_COMPARED} SELECT id, model, record_id, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status, CASE WHEN NOT made THEN 'not_generated' WHEN broken THEN 'refused' END AS error,
+  CASE WHEN good THEN 'passed' WHEN lost THEN 'failed' END AS judge_status, CASE WHEN good THEN verdict END AS verdict FROM s""")
+def comparison_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of two models made of each plan, and what a judge says of it."""
+    return _compared(spark, sf_dir).select("id", "model", "record_id", "status", "error", "judge_status", "verdict")
+
+
+@query(f"""WITH {_COMPARED}, d AS (SELECT model, unnest([id % 5 + 1, c % 5 + 1]) AS x, unnest([1, 2]) AS dimension FROM s WHERE good),
+m AS (SELECT model, (20000 * sum(x) + count(*)) // (2 * count(*)) AS m FROM d GROUP BY model, dimension), o AS (SELECT model, ((2 * sum(m) + count(*)) // (2 * count(*))) / 10000.0 AS mean FROM m GROUP BY model)
+SELECT model, count(*) AS total, count_if(ok) AS generation_passed, count_if(NOT ok) AS generation_failed, count_if(lost) AS judge_failed, count_if(good AND verdict = 'pass') AS passes, count_if(good AND verdict = 'revise') AS revised,
+  CAST(sum(c) FILTER (WHERE ok) AS BIGINT) AS input_tokens, CAST(sum(id % 100) FILTER (WHERE ok) AS BIGINT) AS output_tokens, CAST(sum(id) FILTER (WHERE good) AS BIGINT) AS judge_tokens, any_value(mean) AS mean FROM s JOIN o USING (model) GROUP BY model""")
+def comparison_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two models over the same plans: what passed, verdicts, tokens and mean scores."""
+    out = comparison.summary(_compared(spark, sf_dir))
+    return out.select("model", "total", "generation_passed", "generation_failed", "judge_failed", "passes", F.col("verdicts")["revise"].alias("revised"), F.col("generation_usage")["input_tokens"].alias("input_tokens"), F.col("generation_usage")["output_tokens"].alias("output_tokens"), F.col("judge_usage")["input_tokens"].alias("judge_tokens"), "mean")

@@ -4,8 +4,9 @@ import json
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
-from quern.operators import calls, dataflow, plan_rules
+from quern.operators import calls, comparison, dataflow, plan_rules
 from quern.sources import schemas
 
 RECORD = f"id string, messages array<{schemas.MESSAGE}>, metadata struct<main_category:string,source_type:string,execution:struct<type:string>,review:struct<status:string>>"
@@ -97,3 +98,20 @@ def test_published_whole_or_not(spark, tmp_path):
         plan_rules.publish(rows, found, str(tmp_path / "set"))
     assert not (tmp_path / "set").exists() and spark.read.json(str(tmp_path / "set.issues")).count() == 1
     assert plan_rules.publish(rows, found.limit(0), str(tmp_path / "set")).count() == 4
+
+
+def test_models_over_the_same_plans(spark):
+    plans = spark.createDataFrame([("b", "turkey_native"), ("a", "original_turkish"), ("c", "original_turkish")], "id string, source_type string")
+    made = spark.createDataFrame([("a", "m", None, {"t": 3}), ("b", "m", "broken", {"t": 9}), ("a", "x", None, {"t": 1})], "id string, model string, error string, usage map<string,bigint>")
+    seen = spark.createDataFrame([("a", "m", None, "pass", {"s": 4.5, "r": 3.0}, {"t": 2}), ("b", "m", None, "pass", {"s": 1.0}, {"t": 2})], "id string, model string, error string, verdict string, scores map<string,double>, usage map<string,bigint>")
+    found = comparison.entries(plans, ["m", "n"], made, seen)
+    got = {(r.id, r.model): (r.record_id, r.status, r.error, r.judge_status) for r in found.collect()}
+    assert got[("a", "m")] == ("tctr_ot_000001", "passed", None, "passed") and got[("b", "m")] == ("tctr_tn_000001", "failed", "broken", None) and got[("c", "n")] == ("tctr_ot_000002", "failed", "not_generated", None) and len(got) == 6
+    one, two = comparison.summary(found).orderBy("model").collect()
+    assert (one.total, one.generation_passed, one.passes, one.verdicts, one.generation_usage, one.judge_usage, one["mean"]) == (3, 1, 1, {"pass": 1}, {"t": 3}, {"t": 2}, 3.75)
+    assert (two.generation_failed, two.verdicts, two.generation_usage, two["mean"]) == (3, {}, {}, None)
+    assert comparison.summary(found.limit(0)).count() == 0 and [r.id for r in comparison.chosen(plans, ["c"]).collect()] == ["c"]
+    with pytest.raises(ValueError, match="UNKNOWN_PLANS: y, z"):
+        comparison.chosen(plans, ["z", "a", "y"])
+    with pytest.raises(ValueError, match="SOURCE_NOT_COMPARED"):
+        comparison.entries(plans.withColumn("source_type", F.lit("translated")), ["m"], made, seen)
