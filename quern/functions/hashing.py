@@ -41,9 +41,10 @@ def sampled(key: Column, rate: float) -> Column:
     return F.lit(rate > 0) & (sample_share(key) < rate)
 
 
-def record_id(code: Column, number: Column, kind: str = "tctr") -> Column:
-    """kind_code_NNNNNN for 1 to ID_LIMIT, null beyond."""
-    return F.when(number.between(1, ID_LIMIT), F.format_string(f"{kind}_%s_%06d", code, number))
+def record_id(code: Column, number: Column, kind: str = "tctr", limited: bool = True) -> Column:
+    """kind_code_NNNNNN for 1 to ID_LIMIT, null beyond; numbers that aren't limited go on with more digits."""
+    own = F.format_string(f"{kind}_%s_%06d", code, number)
+    return F.when(number.between(1, ID_LIMIT) if limited else number >= 1, own)
 
 
 def valid_record_id(value: Column, source_type: Column, kind: str = "tctr") -> Column:

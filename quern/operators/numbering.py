@@ -40,8 +40,8 @@ def shard_plan(df: DataFrame, order: str, size: int) -> DataFrame:
     return plan.agg(F.min(place).alias("first"), (F.max(place) + 1).alias("last"), F.count("*").alias("rows"))
 
 
-def identifiers(df: DataFrame, order: str, code: Column, start: int = 1, kind: str = "tctr") -> DataFrame:
-    """df with record ids that count on from start within each code."""
+def identifiers(df: DataFrame, order: str, code: Column, start: int = 1, kind: str = "tctr", limited: bool = True) -> DataFrame:
+    """df with record ids that count on from start within each code; with a limit those beyond it are null."""
     from quern.functions.hashing import record_id
 
-    return numbered(df.withColumn("__code", code), order, ["__code"]).withColumn("record_id", record_id(F.col("__code"), F.col("number") + start - 1, kind)).drop("__code")
+    return numbered(df.withColumn("__code", code), order, ["__code"]).withColumn("record_id", record_id(F.col("__code"), F.col("number") + start - 1, kind, limited)).drop("__code")

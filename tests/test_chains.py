@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from quern.functions import hashing
 from quern.operators import calls, comparison, dataflow, plan_rules
 from quern.sources import schemas
 
@@ -115,3 +116,11 @@ def test_models_over_the_same_plans(spark):
         comparison.chosen(plans, ["z", "a", "y"])
     with pytest.raises(ValueError, match="SOURCE_NOT_COMPARED"):
         comparison.entries(plans.withColumn("source_type", F.lit("translated")), ["m"], made, seen)
+
+
+def test_compared_plans_are_numbered_past_the_limit_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(hashing, "ID_LIMIT", 1)
+    plans = spark.createDataFrame([(i, "original_turkish") for i in range(3)], "id long, source_type string")
+    none = spark.createDataFrame([], "id long, model string, error string, verdict string, scores map<string,double>, usage map<string,bigint>")
+    assert sorted(r.record_id for r in comparison.entries(plans, ["m"], none, none).collect()) == [f"tctr_ot_00000{i}" for i in (1, 2, 3)]
+    assert spark.range(1).select(hashing.record_id(F.lit("ot"), F.lit(4_500_000), limited=False)).first()[0] == "tctr_ot_4500000"
