@@ -124,3 +124,11 @@ def test_compared_plans_are_numbered_past_the_limit_of_ids(spark, monkeypatch):
     none = spark.createDataFrame([], "id long, model string, error string, verdict string, scores map<string,double>, usage map<string,bigint>")
     assert sorted(r.record_id for r in comparison.entries(plans, ["m"], none, none).collect()) == [f"tctr_ot_00000{i}" for i in (1, 2, 3)]
     assert spark.range(1).select(hashing.record_id(F.lit("ot"), F.lit(4_500_000), limited=False)).first()[0] == "tctr_ot_4500000"
+
+
+def test_generations_and_judgments_are_not_broadcast(spark):
+    plans = spark.createDataFrame([("a", "original_turkish")], "id string, source_type string")
+    made = spark.createDataFrame([("a", "m", None, {"t": 3})], "id string, model string, error string, usage map<string,bigint>")
+    seen = made.withColumns({"verdict": F.lit("pass"), "scores": F.create_map(F.lit("x"), F.lit(4.0))})
+    found = comparison.entries(plans, ["m"], made, seen)
+    assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("SortMergeJoin") >= 2
