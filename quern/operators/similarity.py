@@ -1,4 +1,4 @@
-"""Exact threshold join of vectors by a metric index: cells around pivots, rings within cells, blocks within rings."""
+"""Exact threshold join of vectors by a metric index: blocks of rows near one pivot, compared where their angles to all pivots allow a link."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.sources.tables import durable
+from quern.sources.tables import durable, release
 
 #: Pivots at most, and rows of a block. Both change how much is compared, and no result.
-PIVOTS, BLOCK = 512, 512
+PIVOTS, BLOCK = 512, 1024
 #: Angles and projections are computed with errors far below this.
 _SLACK = 1e-9
 
@@ -39,76 +39,85 @@ def unit_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, width int, unit binary")
 
 
-def _cells(classes: DataFrame, pivots: dict[int, np.ndarray], threshold: float) -> DataFrame:
-    """Each class once as a row of its own cell and ring (build), and once for each cell and ring with rows that it may link with (probe).
-
-    A class belongs to the cell of its nearest pivot p. Rows of the cell of q lie beyond the hyperplane between p and
-    q, so a class whose distance to it has a larger sine than the threshold's angle links with none of them. By the
-    triangle inequality two that link differ by no more than that angle in their angles to q, so they lie in one ring
-    or in neighbouring ones. Pairs of two cells are looked for in the later one, pairs of two rings in the outer one.
-    """
-    angle = math.acos(max(-1.0, min(1.0, threshold))) + _SLACK
-    reach = (math.sin(angle) if angle < math.pi / 2 else 2.0) + _SLACK
+def _homes(classes: DataFrame, pivots: dict[int, np.ndarray], angle: float) -> DataFrame:
+    """classes (cls, width, unit) with the cell of their nearest pivot, and their ring in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             widths = batch.column("width").to_numpy()
             for width in np.unique(widths):
                 own = batch.take(pa.array(np.flatnonzero(widths == width)))
-                x, v = np.frombuffer(b"".join(own.column("unit").to_pylist()), "<f8").reshape(-1, width), pivots.get(int(width), np.zeros((1, width)))
-                near = x @ v.T
-                home = near.argmax(axis=1)
-                apart = np.sqrt(np.maximum(0, 2 - 2 * v @ v.T)) if v.any() else np.ones((1, 1))
-                rings = np.floor(np.arccos(np.clip(near, -1, 1)) / angle).astype(np.int32)
-                visits = near[np.arange(len(x)), home][:, None] - near <= apart[home] * reach + _SLACK
-                row, cell = np.nonzero(visits & (np.arange(len(v))[None, :] >= home[:, None]))
-                at_home, ring = cell == home[row], rings[row, cell]
-                sent = [(row[at_home], cell[at_home], ring[at_home], 0)]  # build
-                sent += [(row[m], cell[m], ring[m] + step, kind) for step, m, kind in ((0, at_home, 1), (1, at_home, 2), (-1, ~at_home, 2), (0, ~at_home, 2), (1, ~at_home, 2))]
-                for r, c, g, kind in sent:
-                    part = own.take(pa.array(r))
-                    yield pa.RecordBatch.from_arrays([part.column("cls"), part.column("unit"), part.column("width"), pa.array(c, pa.int32()), pa.array(g, pa.int32()), pa.array(np.full(len(r), kind), pa.int32())], ["cls", "unit", "width", "cell", "ring", "kind"])
-
-    return classes.select("cls", "unit", "width").mapInArrow(run, f"cls {classes.schema['cls'].dataType.simpleString()}, unit binary, width int, cell int, ring int, kind int")
+                x = np.frombuffer(b"".join(own.column("unit").to_pylist()), "<f8").reshape(-1, width)
+                near = x @ pivots.get(int(width), np.zeros((1, width))).T
+                ring = np.floor(np.arccos(np.clip(near.max(axis=1), -1, 1)) / angle)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(near.argmax(axis=1), pa.int32()), pa.array(ring, pa.int32())], ["cls", "width", "unit", "cell", "ring"])
+
+    return classes.select("cls", "width", "unit").mapInArrow(run, f"cls {classes.schema['cls'].dataType.simpleString()}, width int, unit binary, cell int, ring int")
+
+
+def _bounded(packed: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """Blocks (at, width, ids, units) with the least and the largest of their rows' angles to each pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, high = [], []
+            for width, units in zip(batch.column("width").to_pylist(), batch.column("units").to_pylist(), strict=True):
+                x = np.frombuffer(units, "<f8").reshape(-1, width)
+                angles = np.arccos(np.clip(x @ pivots.get(width, np.zeros((1, width))).T, -1, 1))
+                low.append(angles.min(axis=0))
+                high.append(angles.max(axis=0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low, pa.list_(pa.float64())), pa.array(high, pa.list_(pa.float64()))], ["at", "width", "ids", "units", "low", "high"])
+
+    kind = packed.schema["ids"].dataType.simpleString()
+    return packed.select("at", "width", "ids", "units").mapInArrow(run, f"at string, width int, ids {kind}, units binary, low array<double>, high array<double>")
 
 
 def vector_links(df: DataFrame, id_col: str, vector_col: str, threshold: float, pivots: int = PIVOTS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Exact cosine join: (id, cls) membership and (a, b, similarity) links between classes of equal directions, a before b.
 
     cls is the least id with the direction; within a class all are as good as equal. Rows without a direction are in no
-    class, vectors of different widths never link. What has to be compared meets as blocks of rows in matrix products.
-    A ring of many rows is many blocks, whose pairs the adaptive plan may deal to several tasks; no group is gathered
-    beyond a block. Pivots are a sample of bounded size; which ones they are decides only how much is compared.
+    class, vectors of different widths never link. Each class is stored once, in a block of rows near one pivot. By the
+    triangle inequality two that link differ by no more than the threshold's angle in their angles to every pivot, so
+    two blocks are compared, in one matrix product, unless a pivot parts them. Pairs of blocks are read from the table of
+    blocks as they are compared, and nothing is copied for them: the disk grows with the rows, the work with the pairs
+    of blocks that nothing parts, which for vectors without clusters are all. Pivots are a sample of bounded size; which
+    ones they are decides only how much is compared.
     """
-    units = durable(unit_vectors(df, id_col, vector_col), "units")
-    classes = durable(units.groupBy("width", "unit").agg(F.min("id").alias("cls")), "directions")
-    members = units.join(classes, ["width", "unit"]).select("id", "cls")
-    many = min(pivots, max(1, math.isqrt(classes.count()) // 2))
+    angle = math.acos(max(-1.0, min(1.0, threshold))) + _SLACK
+    units = durable(unit_vectors(df, id_col, vector_col).withColumn("key", F.sha2("unit", 256)), "units")
+    firsts = durable(units.groupBy("width", "key").agg(F.min("id").alias("cls")), "directions")
+    members = units.select("id", "width", "key").join(firsts, ["width", "key"]).select("id", "cls")
+    classes = units.join(firsts.withColumnRenamed("cls", "id"), ["width", "key", "id"], "left_semi").dropDuplicates(["width", "key"]).select(F.col("id").alias("cls"), "width", "unit")
+    many = min(pivots, max(1, math.isqrt(firsts.count()) // 2))
     chosen: dict[int, list[bytes]] = {}
-    for r in classes.select("width", "unit", F.xxhash64("unit").alias("h")).orderBy("h", "unit").limit(many).collect():
+    for r in units.select("width", "unit", "key").dropDuplicates(["width", "key"]).orderBy("key", "width").limit(many).collect():
         chosen.setdefault(r["width"], []).append(bytes(r["unit"]))
     own = {w: np.frombuffer(b"".join(us), "<f8").reshape(-1, w) for w, us in chosen.items()}
-    sent = durable(_cells(classes, own, threshold), "cells")
+    homes = durable(_homes(classes, own, angle), "homes")
     group = ["width", "cell", "ring"]
-    sizes = sent.groupBy(*group, "kind").count()  # pivots * rings * 3 rows at most
-    dealt = sent.join(F.broadcast(sizes), [*group, "kind"]).withColumn("block", F.pmod(F.xxhash64("unit"), F.ceil(F.col("count") / block)))
-    packed = dealt.groupBy(*group, "kind", "block").agg(F.collect_list(F.struct("cls", "unit")).alias("rows"))
-    packed = durable(packed.select(*group, "kind", F.col("rows.cls").alias("ids"), F.array_join(F.transform("rows.unit", F.hex), "").alias("units")).withColumn("units", F.unhex("units")), "blocks")
-    build = packed.where("kind = 0").select(*group, "ids", "units")
-    probe = packed.where("kind > 0").select(*group, "kind", F.col("ids").alias("ids_a"), F.col("units").alias("units_a"))
+    few = homes.groupBy(*group).count()  # pivots * rings rows at most
+    dealt = homes.join(F.broadcast(few), group).withColumn("part", F.pmod(F.xxhash64("unit"), F.ceil(F.col("count") / block)))
+    packed = dealt.groupBy(*group, "part").agg(F.collect_list(F.struct("cls", "unit")).alias("rows"))
+    packed = packed.select(F.concat_ws(":", *group, "part").alias("at"), "width", F.col("rows.cls").alias("ids"), F.unhex(F.array_join(F.transform("rows.unit", F.hex), "")).alias("units"))
+    blocks = durable(_bounded(packed, own), "blocks")
+    release(homes)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                width, ids, units, kind, ids_a, units_a = (batch.column(k)[i] for k in range(6))
-                y = np.frombuffer(units.as_py(), "<f8").reshape(-1, width.as_py())
+                width, same, ids_a, units_a, ids, units = (batch.column(k)[i] for k in range(6))
                 x = np.frombuffer(units_a.as_py(), "<f8").reshape(-1, width.as_py())
+                y = np.frombuffer(units.as_py(), "<f8").reshape(-1, width.as_py())
                 s = x @ y.T
                 p, q = np.nonzero(s >= threshold)
-                a, b = ids_a.values.take(pa.array(p)), ids.values.take(pa.array(q))
-                yield pa.RecordBatch.from_arrays([a, b, pa.array(s[p, q]), pa.array(np.full(len(p), kind.as_py()), pa.int32())], ["x", "y", "similarity", "kind"])
-
-    kind = classes.schema["cls"].dataType.simpleString()
-    pairs = probe.join(build, group).select("width", "ids", "units", "kind", "ids_a", "units_a").mapInArrow(compare, f"x {kind}, y {kind}, similarity double, kind int")
-    links = pairs.where("x <> y AND (kind = 2 OR x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
-    return members, links
+                if same.as_py():
+                    p, q = p[p < q], q[p < q]
+                yield pa.RecordBatch.from_arrays([ids_a.values.take(pa.array(p)), ids.values.take(pa.array(q)), pa.array(s[p, q])], ["x", "y", "similarity"])
+
+    kind = homes.schema["cls"].dataType.simpleString()
+    x, y = blocks.withColumnsRenamed({c: f"{c}_a" for c in blocks.columns}), blocks
+    parted = lambda low, high: F.exists(F.zip_with(low, high, lambda u, v: u - v), lambda gap: gap > angle + _SLACK)
+    meet = (F.col("width_a") - F.col("width") == 0) & (F.col("at_a") <= F.col("at")) & ~parted("low_a", "high") & ~parted("low", "high_a")
+    met = x.crossJoin(y).where(meet)  # of blocks, not rows; a join on their width would put all into one task
+    pairs = met.select("width", (F.col("at_a") == F.col("at")).alias("same"), "ids_a", "units_a", "ids", "units").mapInArrow(compare, f"x {kind}, y {kind}, similarity double")
+    return members, pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
