@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import pathlib
 import random
 import re
 import unicodedata
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import hashing, jsons, text
 from quern.operators import duplicates, scanning, similarity
+from quern.sources import tables
 
 
 def clustered(rng, n, width=6):
@@ -165,3 +167,19 @@ def test_values_by_keys_and_places(spark):
     assert (at("a", 0), at("a", 1, "b c", 1), at("a", -1, "b c", -1, 'q"'), at(""), at("a", 1, "b c", 0)) == ("1", '"x"', "2.5", '"e"', "null")
     assert at("a", 7) is at("a", -7) is at("z") is at("a", "b") is at("", 0) is None
     assert json.loads(at()) == tree
+
+
+def test_vectors_are_stored_once_and_not_for_each_cell(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
+    known = set(tables.made)
+    similarity.vector_links(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 0.35)[1].count()
+    kept = sum(p.stat().st_size for path in set(tables.made) - known for p in pathlib.Path(path.removeprefix("file:")).glob("*.parquet"))
+    assert kept < 10 * 3000 * 16 * 8  # a vector that meets everything was sent to a cell a pivot before
+
+
+@pytest.mark.parametrize("sent,cells", [(0, 2), (0, 1 << 14), (200_000, 1)])
+def test_counters_are_the_same_whatever_is_sent(spark, monkeypatch, sent, cells):
+    monkeypatch.setattr(scanning, "SENT", sent)
+    monkeypatch.setattr(scanning, "CELLS", cells)
+    test_the_scan_equals_all_pairs(spark, 1)
