@@ -26,8 +26,8 @@ ORDER, START, END, NUL = 5, 2, 3, 1
 #: Characters of a slice, whose last document may reach beyond; small tables get a slice a core, of LEAST_SLICE characters
 #: at least. A slice's documents come from one task. Small slices would ask for common n-grams over and over.
 SLICE, LEAST_SLICE = 48_000_000, 1_000_000
-#: Characters that are looked at at once, and cells of a look-up table; they change no result.
-CHUNK, CELLS = 2_500_000, 1 << 24
+#: Characters that are looked at at once (each takes some 60 bytes meanwhile), and cells of a look-up table; they change no result.
+CHUNK, CELLS = 1_250_000, 1 << 24
 #: Of trusted texts one in HELD, by a hash of the text, is held out of the model; limits are quantiles over these.
 HELD = 5
 #: A document is rejected if its log perplexity exceeds its language's median by more than SPREAD times the distance
@@ -77,16 +77,21 @@ class Chunk:
         return self.begins + max(0, ORDER - 1 - order), self.ends - order + 1
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Stretches of texts of about CHUNK characters, with the place of the first."""
-    at, size = 0, 0
-    for i, x in enumerate(texts):
-        if size and size + len(x) > CHUNK:
-            yield at, texts[at:i]
-            at, size = i, 0
-        size += len(x) + ORDER
-    if at < len(texts):
-        yield at, texts[at:]
+def chunks(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Texts with a character in stretches of about CHUNK characters, with their places; only a stretch at a time is in Python's strings."""
+    sizes = lengths(texts)
+    full = np.flatnonzero(sizes)
+    ends = np.cumsum(sizes[full] + ORDER)
+    at = 0
+    while at < len(full):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
+        yield full[at:upto], texts.take(pa.array(full[at:upto])).to_pylist()
+        at = upto
+    pa.default_memory_pool().release_unused()  # a worker waits for its next task
+
+
+def lengths(texts: pa.ChunkedArray) -> np.ndarray:
+    return pc.fill_null(pc.utf8_length(texts), 0).to_numpy().astype(np.int64)
 
 
 def strings(grams: np.ndarray) -> pa.Array:
@@ -96,9 +101,8 @@ def strings(grams: np.ndarray) -> pa.Array:
 def count_slice(docs: pa.Table, places: pa.Table) -> pa.Table:
     """(gram, n): n-grams of the highest order in the texts of these places."""
     mask = np.isin(docs.column("__place").to_numpy(), places.column("__place").to_numpy()) if len(docs) else np.zeros(0, bool)
-    texts = [x for x in docs.column("text").filter(pa.array(mask)).to_pylist() if x]
     out = []
-    for _, part in chunks(texts):
+    for _, part in chunks(docs.column("text").filter(pa.array(mask))):
         chunk = Chunk(part)
         *_, (order, grams, ids) = chunk.orders()
         low, high = chunk.inside(order)
@@ -112,8 +116,12 @@ def count_slice(docs: pa.Table, places: pa.Table) -> pa.Table:
 
 def ask_slice(docs: pa.Table) -> pa.Table:
     """(gram, __slice): all n-grams of a slice, once each."""
-    texts = [x for x in docs.column("text").to_pylist() if x]
-    found = [strings(grams) for _, part in chunks(texts) for _, grams, _ in Chunk(part).orders()]
+    found, distinct = [], 0
+    for _, part in chunks(docs.column("text")):
+        found += [strings(grams) for _, grams, _ in Chunk(part).orders()]
+        if sum(map(len, found)) > 2 * distinct + CHUNK:  # as many again as there were
+            found = [pc.unique(pa.chunked_array(found, pa.string()))]
+            distinct = len(found[0])
     grams = pc.unique(pa.chunked_array(found, pa.string()))
     grams = grams.filter(pc.invert(pc.match_substring_regex(grams, f"{chr(END)}.")))  # these span two texts
     return pa.table({"gram": grams, "__slice": pa.array(np.full(len(grams), docs.column("__slice")[0].as_py() if len(docs) else 0), pa.int64())})
@@ -121,24 +129,20 @@ def ask_slice(docs: pa.Table) -> pa.Table:
 
 def score_slice(docs: pa.Table, values: pa.Table, unseen: float) -> pa.Table:
     """The rows of a slice without their texts, with n_chars and log_ppl, the mean negative log probability of a character and the end (null: no text)."""
-    texts = docs.column("text").to_pylist()
-    at = np.array([i for i, x in enumerate(texts) if x], np.int64)
-    full = [texts[i] for i in at]
     gram, value = values.column("gram").combine_chunks(), values.column("value").to_numpy()
     size = pc.utf8_length(gram).to_numpy(zero_copy_only=False)
     known = [(gram.filter(pa.array(size == o)), np.append(value[size == o], 0.0)) for o in range(1, ORDER + 1)]
-    sums = np.zeros(len(full))
-    for first, part in chunks(full):
+    sums = np.zeros(len(docs))
+    for at, part in chunks(docs.column("text")):
         chunk = Chunk(part)
         for order, grams, ids in chunk.orders():
             keys, numbers = known[order - 1]
             which = pc.index_in(strings(grams), value_set=keys).fill_null(len(keys)).to_numpy(zero_copy_only=False)
             total = np.concatenate([[0.0], np.cumsum(numbers[which][ids])])
             low, high = chunk.inside(order)
-            sums[first : first + len(part)] += total[high] - total[low]
-    n_chars = np.array([len(x or "") for x in texts], np.int64)
-    log_ppl = np.full(len(texts), np.nan)
-    log_ppl[at] = -sums / (n_chars[at] + 1) - unseen
+            sums[at] += total[high] - total[low]
+    n_chars = lengths(docs.column("text"))
+    log_ppl = np.where(n_chars > 0, -sums / (n_chars + 1) - unseen, np.nan)
     out = docs.drop_columns(["text"])
     return out.append_column("n_chars", pa.array(n_chars)).append_column("log_ppl", pa.array(log_ppl, mask=np.isnan(log_ppl)))
 
