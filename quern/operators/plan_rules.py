@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.jsons import schema_issues
+from quern.functions.jsons import schema_issues, schema_issues_once
 from quern.functions.text import markers
-from quern.operators.validation import EXEMPT, PARALLEL, SEQUENTIAL, issue
+from quern.operators.validation import EXEMPT, PARALLEL, SEQUENTIAL
+from quern.sources.tables import durable
 
 #: Decisions that each category allows.
 DECISIONS = {
@@ -18,6 +21,7 @@ DECISIONS = {
 SCHEMA_CODES = {"REQUIRED": "SCHEMA_REQUIRED", "ENUM": "SCHEMA_ENUM", "CONST": "SCHEMA_CONST", "PATTERN": "SCHEMA_PATTERN", "TYPE": "SCHEMA_TYPE", "ADDITIONAL": "SCHEMA_ADDITIONAL_PROPERTY"}
 #: Characters of a registry that is sent to every task; a larger one is joined by a shuffle, with the same rows.
 SENT = 64_000_000
+CALLS = "array<struct<name:string,arguments:string>>"
 
 
 def near(registry: DataFrame) -> DataFrame:
@@ -26,13 +30,30 @@ def near(registry: DataFrame) -> DataFrame:
     return F.broadcast(registry) if (size or 0) <= SENT else registry
 
 
-def checked(values: DataFrame, registry: DataFrame, schema: str, prefix: str, unknown: bool) -> DataFrame:
-    """(id, code, path) of values (id, name, value, path) against the schemas of their functions; with unknown, names that the registry lacks are issues."""
-    met = values.join(near(registry.select("name", F.col(schema).alias("__schema"), F.lit(True).alias("__known")).dropDuplicates(["name"])), "name", "left")
-    code = F.when(F.col("x.code") == "ADDITIONAL", f"{prefix}_UNSUPPORTED").when(F.col("x.code").isin("REQUIRED", "TYPE", "ENUM", "FORMAT"), F.concat(F.lit(f"{prefix}_"), "x.code")).otherwise(f"{prefix}_SCHEMA_INVALID")
-    broken = met.where("__schema IS NOT NULL").select("id", "path", F.explode(schema_issues("__schema", "value")).alias("x"))
-    out = broken.select("id", code.alias("code"), F.concat("path", F.expr("substring(x.path, 2)")).alias("path"))
-    return out.unionByName(met.where("__known IS NULL").select("id", F.lit("FUNCTION_NOT_IN_REGISTRY").alias("code"), "path")) if unknown else out
+#: What a row asks for: an issue that is sure (code), a name that the registry should have (TOOL), or a value against a schema of its function (ARG, RESULT).
+FACT = "array<struct<kind:string,code:string,name:string,value:string,path:string>>"
+
+
+def fact(kind: str, path: Column, name: Column | None = None, value: Column | None = None, code: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(F.lit(kind).alias("kind"), *((none if x is None else x).alias(k) for k, x in (("code", code), ("name", name), ("value", value))), path.alias("path"))
+
+
+def checked(facts: DataFrame, registry: DataFrame, schemas: dict[str, str]) -> DataFrame:
+    """(id, code, path) of facts (id, facts) against a registry (name and the columns that schemas names for ARG and RESULT).
+
+    All facts of all rows go through one join and one look at schemas, so rows are made once. A function that the registry
+    lacks is an issue for its arguments and as a tool, not for its result; a null schema allows all. Lists are opened by
+    explode_outer(): for explode(), Spark asks before it whether they are empty, and makes them once more for that.
+    """
+    known = durable(registry.select("name", *schemas.values(), F.lit(True).alias("__known")).dropDuplicates(["name"]), "registry")
+    met = facts.select("id", F.explode_outer("facts").alias("f")).where("f IS NOT NULL").select("id", "f.*").join(near(known), "name", "left")
+    schema = reduce(lambda x, kv: x.when(F.col("kind") == kv[0], F.col(kv[1])), schemas.items(), F.when(F.lit(False), None))
+    found = met.select("id", "kind", "code", "path", F.when(F.col("kind").isin("ARG", "TOOL") & F.col("__known").isNull(), "FUNCTION_NOT_IN_REGISTRY").alias("unknown"), schema.alias("schema"), "value")
+    found = found.select("id", "kind", "path", F.coalesce("code", "unknown").alias("code"), F.col("schema").isNotNull().alias("has"), schema_issues_once("schema", "value").alias("issues"))
+    found = found.select("id", "kind", "path", "code", F.explode_outer(F.when(F.col("code").isNull() & F.col("has"), F.col("issues"))).alias("x")).where("code IS NOT NULL OR x IS NOT NULL")
+    code = F.when(F.col("x.code") == "ADDITIONAL", "_UNSUPPORTED").when(F.col("x.code").isin("REQUIRED", "TYPE", "ENUM", "FORMAT"), F.concat(F.lit("_"), "x.code")).otherwise("_SCHEMA_INVALID")
+    return found.select("id", F.coalesce("code", F.concat("kind", code)).alias("code"), F.concat("path", F.coalesce(F.expr("substring(x.path, 2)"), F.lit(""))).alias("path"))
 
 
 def benchmark_issues(rows: DataFrame, registry: DataFrame) -> DataFrame:
@@ -43,10 +64,13 @@ def benchmark_issues(rows: DataFrame, registry: DataFrame) -> DataFrame:
     a row whose category is null or unknown allows no decision. Repeated rows are told each.
     """
     allowed = F.array_contains(F.coalesce(F.create_map(*(x for k, v in DECISIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))[F.col("category")], F.array().cast("array<string>")), F.coalesce("decision", F.lit("")))
-    own = rows.select("id", F.explode(F.array_compact(F.array(issue("BENCHMARK_DECISION_INCONSISTENT", ~F.coalesce(allowed, F.lit(False)), "$.expected.decision")))).alias("x")).select("id", "x.*")
-    each = rows.select("id", F.coalesce("exposed", F.array().cast("array<string>")).alias("exposed"), F.posexplode("calls").alias("i", "c")).select("id", "exposed", "c.name", F.col("c.arguments").alias("value"), F.format_string("$.expected.tool_calls[%d].function", "i").alias("base"))
-    hidden = each.where(~F.array_contains("exposed", F.col("name"))).select("id", F.lit("EXPECTED_FUNCTION_NOT_EXPOSED").alias("code"), F.concat("base", F.lit(".name")).alias("path"))
-    return own.unionByName(hidden).unionByName(checked(each.select("id", "name", "value", F.concat("base", F.lit(".arguments")).alias("path")), registry, "parameters", "ARG", True))
+    odd = F.when(F.coalesce(allowed, F.lit(False)), F.array().cast(FACT)).otherwise(F.array(fact("OWN", F.lit("$.expected.decision"), code=F.lit("BENCHMARK_DECISION_INCONSISTENT"))))
+    at = lambda i, rest: F.concat(F.lit("$.expected.tool_calls["), i.cast("string"), F.lit(f"].function.{rest}"))
+    calls = F.coalesce("calls", F.array().cast(CALLS))
+    exposed = F.coalesce("exposed", F.array().cast("array<string>"))
+    hidden = F.transform(F.filter(F.transform(calls, lambda x, i: F.struct(x["name"].alias("name"), i.alias("i"))), lambda x: ~F.array_contains(exposed, x["name"])), lambda x: fact("OWN", at(x["i"], "name"), code=F.lit("EXPECTED_FUNCTION_NOT_EXPOSED")))
+    given = F.transform(calls, lambda x, i: fact("ARG", at(i, "arguments"), x["name"], x["arguments"]))
+    return checked(rows.select("id", F.concat(odd, hidden, given).alias("facts")), registry, {"ARG": "parameters"})
 
 
 def plan_issues(plans: DataFrame, registry: DataFrame) -> DataFrame:
@@ -61,27 +85,28 @@ def plan_issues(plans: DataFrame, registry: DataFrame) -> DataFrame:
     c, none = F.col, F.array().cast("array<string>")
     tags, tools, n = F.coalesce("tags", none), F.coalesce("tools", none), F.coalesce(F.size("calls"), F.lit(0))
     n = F.greatest(n, F.lit(0))
-    texts = F.concat(F.array(F.struct(F.lit("$.user_goal").alias("path"), c("goal").alias("text")), F.struct(F.lit("$.expected_final_behavior").alias("path"), c("ending").alias("text"))), F.transform(F.coalesce("avoid", none), lambda t, i: F.struct(F.format_string("$.must_avoid[%d]", i).alias("path"), t.alias("text"))))
-    leaks = F.when(~F.array_contains(tags, EXEMPT), F.transform(F.filter(texts, lambda t: F.size(markers(F.coalesce(t["text"], F.lit("")))) > 0), lambda t: F.struct(F.lit("BLUEPRINT_INTERNAL_MARKER").alias("code"), t["path"].alias("path"))))
-    missing = F.transform(F.filter(F.transform(F.coalesce("calls", F.array().cast("array<struct<name:string,arguments:string>>")), lambda x, i: F.struct(x["name"].alias("name"), i.alias("i"))), lambda x: ~F.array_contains(tools, x["name"])), lambda x: F.struct(F.lit("EXPECTED_FUNCTION_NOT_AVAILABLE").alias("code"), F.format_string("$.expected_tool_calls[%d].function.name", x["i"]).alias("path")))
-    listed = F.try_variant_get(F.try_parse_json("result"), "$", "array<variant>")
-    is_list = F.coalesce(F.schema_of_variant(F.try_parse_json("result")).startswith("ARRAY"), F.lit(False))
+    plans = plans.withColumn("__result", F.try_parse_json("result")).withColumns({"__kind": F.schema_of_variant("__result"), "__listed": F.try_variant_get("__result", "$", "array<variant>")})
+    calls, listed, empty = F.coalesce("calls", F.array().cast(CALLS)), c("__listed"), F.array().cast(FACT)
+    sure = lambda code, path: fact("OWN", path, code=F.lit(code))
+    at = lambda before, i, after="]": F.concat(F.lit(before), i.cast("string"), F.lit(after))
+    texts = F.concat(F.array(F.struct(F.lit("$.user_goal").alias("path"), c("goal").alias("text")), F.struct(F.lit("$.expected_final_behavior").alias("path"), c("ending").alias("text"))), F.transform(F.coalesce("avoid", none), lambda t, i: F.struct(at("$.must_avoid[", i).alias("path"), t.alias("text"))))
+    leaks = F.when(~F.array_contains(tags, EXEMPT), F.transform(F.filter(texts, lambda t: F.size(markers(F.coalesce(t["text"], F.lit("")))) > 0), lambda t: sure("BLUEPRINT_INTERNAL_MARKER", t["path"]))).otherwise(empty)
+    missing = F.transform(F.filter(F.transform(calls, lambda x, i: F.struct(x["name"].alias("name"), i.alias("i"))), lambda x: ~F.array_contains(tools, x["name"])), lambda x: sure("EXPECTED_FUNCTION_NOT_AVAILABLE", at("$.expected_tool_calls[", x["i"], "].function.name")))
+    is_list = F.coalesce(c("__kind").startswith("ARRAY"), F.lit(False))
     order, kind = F.coalesce("execution_order", F.lit("")), F.coalesce("execution_type", F.lit(""))
     odd = ((order == "parallel") != F.array_contains(tags, PARALLEL)) | ((order == "sequential") != F.array_contains(tags, SEQUENTIAL))
-    rest = F.array_compact(F.array(
-        issue("BLUEPRINT_RESULT_COUNT_MISMATCH", (n > 1) & is_list & (F.size(listed) != n), "$.expected_tool_result"),
-        issue("BLUEPRINT_ORDER_TAG_MISMATCH", (c("category") == "multi_tool") & odd, "$.execution_order"),
-        issue("BLUEPRINT_NO_CALL_EXECUTION_INVALID", (F.coalesce("behavior", F.lit("")) != "tool_call") & (kind != "not_applicable"), "$.metadata.intended_execution_type"),
-    ))
-    own = plans.select("id", F.explode(F.concat(F.coalesce(leaks, F.array().cast("array<struct<code:string,path:string>>")), missing, rest)).alias("x")).select("id", "x.code", "x.path")
-    named = plans.select("id", F.posexplode("tools").alias("i", "name")).select("id", "name", F.format_string("$.available_tools[%d]", "i").alias("path"))
-    unknown = named.join(near(registry.select("name").distinct()), "name", "left_anti").select("id", F.lit("FUNCTION_NOT_IN_REGISTRY").alias("code"), "path")
-    calls = plans.select("id", F.posexplode("calls").alias("i", "c")).select("id", "c.name", F.col("c.arguments").alias("value"), F.format_string("$.expected_tool_calls[%d].function.arguments", "i").alias("path"))
-    single = F.when((n == 1) & F.coalesce(F.schema_of_variant(F.try_parse_json("result")) != "VOID", F.lit(False)), F.array(F.struct(c("calls")[0]["name"].alias("name"), c("result").alias("value"), F.lit("$.expected_tool_result").alias("path"))))
+    rest = F.array_compact(F.array(*(F.when(bad, sure(code, F.lit(path))) for code, bad, path in (
+        ("BLUEPRINT_RESULT_COUNT_MISMATCH", (n > 1) & is_list & (F.size(listed) != n), "$.expected_tool_result"),
+        ("BLUEPRINT_ORDER_TAG_MISMATCH", (c("category") == "multi_tool") & odd, "$.execution_order"),
+        ("BLUEPRINT_NO_CALL_EXECUTION_INVALID", (F.coalesce("behavior", F.lit("")) != "tool_call") & (kind != "not_applicable"), "$.metadata.intended_execution_type"),
+    ))))
+    named = F.transform(tools, lambda x, i: fact("TOOL", at("$.available_tools[", i), x))
+    given = F.transform(calls, lambda x, i: fact("ARG", at("$.expected_tool_calls[", i, "].function.arguments"), x["name"], x["arguments"]))
+    single = F.when((n == 1) & F.coalesce(c("__kind") != "VOID", F.lit(False)), F.array(fact("RESULT", F.lit("$.expected_tool_result"), c("calls")[0]["name"], c("result"))))
     pairs = F.arrays_zip(F.transform("calls", lambda x: x["name"]).alias("name"), F.transform(listed, lambda v: F.coalesce(F.to_json(v), F.lit("null"))).alias("value"))
-    several = F.when((n > 1) & is_list, F.transform(F.slice(pairs, F.lit(1), F.least(n, F.size(listed))), lambda p, i: F.struct(p["name"].alias("name"), p["value"].alias("value"), F.format_string("$.expected_tool_result[%d]", i).alias("path"))))
-    results = plans.select("id", F.explode(F.coalesce(single, several)).alias("x")).select("id", "x.*")
-    return own.unionByName(unknown).unionByName(checked(calls, registry, "parameters", "ARG", True)).unionByName(checked(results, registry, "output_schema", "RESULT", False))
+    several = F.when((n > 1) & is_list, F.transform(F.slice(pairs, F.lit(1), F.least(n, F.size(listed))), lambda p, i: fact("RESULT", at("$.expected_tool_result[", i), p["name"], p["value"])))
+    facts = F.concat(leaks, missing, rest, named, given, F.coalesce(single, several, empty))
+    return checked(plans.select("id", facts.alias("facts")), registry, {"ARG": "parameters", "RESULT": "output_schema"})
 
 
 def raw_schema_issues(raw: DataFrame, schema: str) -> DataFrame:

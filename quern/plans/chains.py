@@ -22,7 +22,7 @@ def _text(*parts: Column | str) -> Column:
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with items: part, supp, q and name of each, in order; an order has a handful."""
     item = F.struct("l_linenumber", F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), F.col("l_quantity").cast("int").alias("q"), F.concat(F.lit("ship_"), F.lower("l_returnflag")).alias("name"))
-    items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    items = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id").join(items, "id", "left")
     return orders.withColumn("items", F.coalesce("items", F.array().cast(items.schema["items"].dataType)))
 

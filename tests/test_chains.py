@@ -132,3 +132,16 @@ def test_generations_and_judgments_are_not_broadcast(spark):
     seen = made.withColumns({"verdict": F.lit("pass"), "scores": F.create_map(F.lit("x"), F.lit(4.0))})
     found = comparison.entries(plans, ["m"], made, seen)
     assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("SortMergeJoin") >= 2
+
+
+def test_rows_are_made_once_and_values_checked_in_one_pass(spark):
+    rows = spark.createDataFrame([(1, "single_tool", "tool_call", ["f"], [("f", '{"a":1}'), ("f", '{"a":"x"}'), ("g", "{}"), (None, None)]), (2, None, None, None, None)], "id int, category string, decision string, exposed array<string>, calls array<struct<name:string,arguments:string>>")
+    registry = spark.createDataFrame([("f", '{"type":"object","properties":{"a":{"type":"integer"}}}')], "name string, parameters string")
+    found = plan_rules.benchmark_issues(rows, registry)
+    at = "$.expected.tool_calls[{}].function.{}".format
+    assert sorted((r["id"], r["code"], r["path"]) for r in found.collect()) == [
+        (1, "ARG_TYPE", at(1, "arguments") + ".a"), (1, "EXPECTED_FUNCTION_NOT_EXPOSED", at(2, "name")), (1, "FUNCTION_NOT_IN_REGISTRY", at(2, "arguments")), (1, "FUNCTION_NOT_IN_REGISTRY", at(3, "arguments")),
+        (2, "BENCHMARK_DECISION_INCONSISTENT", "$.expected.decision"),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1 and plan.count("ArrowEvalPython") == 1

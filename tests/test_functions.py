@@ -112,3 +112,14 @@ def test_booking(spark):
     df = spark.createDataFrame(asked, "request long, room_id string, date string, start_time string, end_time string, attendee_count int, confirmed boolean")
     got = {r.request: (r.status, r.conflict_with) for r in state.book(df, spark.createDataFrame([("a", 4)], "room_id string, capacity int")).collect()}
     assert got == {1: ("confirmed", None), 2: ("conflict", 1), 3: ("capacity_exceeded", None), 4: ("invalid_time_range", None), 5: ("unknown_room", None), 6: ("confirmation_required", None), 7: ("confirmed", None)}
+
+
+def test_quick_schema_test_agrees_with_the_whole_one():
+    values = [None, True, 0, 3, 45, 46, 2.0, 2.5, float("nan"), float("inf"), 10**400, "", "x", [], [1], {}, {"a": 1}, {"a": 1, "b": "x"}, {"a": True, "b": 2.0}, {"a": 50}, {"c": None}, {"a": 1, "b": float("nan")}]
+    part = {"type": "integer", "maximum": 45}
+    schemas = [True, {}, part, {"type": ["number", "null"]}, {"title": "t"}, {"type": "object", "properties": {"a": part, "b": {}}, "required": ["a"], "additionalProperties": False}, {"properties": {"a": {"minimum": 1}}, "required": ["b"]}]
+    for schema in schemas:
+        own = jsons.Schema(schema)
+        assert own.quick is not None and not any(own.quick(v) and own.issues(v) for v in values)
+        assert own.quick(45 if schema != schemas[5] else {"a": 45})
+    assert all(jsons.Schema(x).quick is None for x in (False, {"pattern": "a"}, {"type": "odd"}, {"properties": {"a": {"enum": [1]}}}, {"additionalProperties": {}}))
