@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,15 +92,33 @@ def entity_shape(text: Column, entities: Mapping[str, Sequence[str]]) -> Column:
     if sum(map(len, entities.values())) > ENTITY_VALUES:
         raise ValueError("TOO_MANY_ENTITIES")
 
-    @F.pandas_udf(T.StringType())
-    def shaped(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.StringType())
+    def shaped(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Shapes(entities)  # built once a task
-        for s in texts:
-            yield s.map(lambda x: x if x is None else own.of(x))
+        for batch in texts:
+            yield in_stretches(batch, own.of)
 
     return shaped(text)
 
 
+#: Characters of texts that are Python's strings at once; it changes no result.
+STRETCH = 2_000_000
+
+
+def in_stretches(texts: pa.Array, change: Callable[[str], str]) -> pa.Array:
+    """texts changed one by one, nulls kept; of a batch only a stretch of about STRETCH characters at a time is in Python's strings."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    out, at = [], 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STRETCH, "right")))
+        out.append(pa.array([x if x is None else change(x) for x in texts.slice(at, upto - at).to_pylist()], pa.string()))
+        at = upto
+    done = pa.concat_arrays(out) if out else pa.array([], pa.string())
+    out.clear()
+    pa.default_memory_pool().release_unused()
+    return done
+
+
 def place(text: Column) -> Column:
     """A place name without Turkish letters, case and repeated space."""
     return F.trim(F.regexp_replace(F.lower(F.translate(text, TURKISH_FROM, TURKISH_TO)), r"\s+", " "))

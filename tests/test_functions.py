@@ -1,5 +1,7 @@
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,16 @@ def test_quick_schema_test_agrees_with_the_whole_one():
         assert own.quick is not None and not any(own.quick(v) and own.issues(v) for v in values)
         assert own.quick(45 if schema != schemas[5] else {"a": 45})
     assert all(jsons.Schema(x).quick is None for x in (False, {"pattern": "a"}, {"type": "odd"}, {"properties": {"a": {"enum": [1]}}}, {"additionalProperties": {}}))
+
+
+def test_texts_are_changed_in_stretches(monkeypatch):
+    """A batch of any size takes Python's memory for a stretch of its texts."""
+    monkeypatch.setattr(text, "STRETCH", 20_000)
+    texts = [None, "", *("of the word " * 100 for _ in range(4_000))]
+    tracemalloc.start()
+    got = text.in_stretches(pa.array(texts), str.upper)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [x and x.upper() for x in texts] and most < 1_000_000
+    assert text.in_stretches(pa.array([], pa.string()), str.upper).to_pylist() == []
+    assert text.in_stretches(pa.array(["a" * 30_000, None]), str.upper).to_pylist() == ["A" * 30_000, None]
