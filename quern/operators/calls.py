@@ -21,6 +21,11 @@ def _calls() -> Column:
     return F.transform(own, lambda c: F.struct(c["id"].alias("call"), c["function"]["name"].alias("name"), c["function"]["arguments"].alias("arguments"), (F.size(named(c)) > 0).alias("answered"), F.try_element_at(named(c), F.lit(-1))["content"].alias("result")))
 
 
+def _each(records: DataFrame) -> DataFrame:
+    """(id, place, c) of all calls. The outer form, as for the plain one Spark asks first whether there are any, and makes all calls again for that."""
+    return records.select("id", F.posexplode_outer(_calls()).alias("place", "c")).where("place IS NOT NULL")
+
+
 def call_refusals(records: DataFrame) -> DataFrame:
     """(id, problem): records (id, messages) that can't say what their calls gave.
 
@@ -40,7 +45,7 @@ def call_results(records: DataFrame) -> DataFrame:
     Where results name a call twice, the last one counts. A call without a result has a null; call_refusals() tells
     which records may be used. All is within a row: nothing is shuffled.
     """
-    return records.select("id", F.posexplode(_calls()).alias("place", "c")).select("id", F.col("place").cast("long").alias("place"), "c.call", "c.name", "c.arguments", "c.result")
+    return _each(records).select("id", F.col("place").cast("long").alias("place"), "c.call", "c.name", "c.arguments", "c.result")
 
 
 def transfers(records: DataFrame, declared: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def verified(records: DataFrame, executions: DataFrame) -> DataFrame:
     reason. A call that executions lack has failed as not_executed; of several runs of a call the least row counts, found
     before the shuffle. Null results of passed runs are JSON nulls.
     """
-    own = records.select("id", F.posexplode(_calls()).alias("place", "c")).select("id", F.col("place").cast("long").alias("place"), "c.*")
+    own = _each(records).select("id", F.col("place").cast("long").alias("place"), "c.*")
     runs = executions.groupBy("id", "call").agg(F.min(F.struct("status", "result", "raised", "fixture")).alias("r"))
     met = own.join(runs, ["id", "call"], "left").select("id", "place", "call", "name", "answered", F.col("result").alias("recorded"), "r.*", F.col("r").isNotNull().alias("ran"))
     raised = F.coalesce("raised", F.lit(False))
