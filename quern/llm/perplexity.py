@@ -27,7 +27,7 @@ ORDER, START, END, NUL = 5, 2, 3, 1
 #: at least. A slice's documents come from one task. Small slices would ask for common n-grams over and over.
 SLICE, LEAST_SLICE = 48_000_000, 1_000_000
 #: Characters that are looked at at once (each takes some 60 bytes meanwhile), and cells of a look-up table; they change no result.
-CHUNK, CELLS = 1_250_000, 1 << 24
+CHUNK, CELLS = 500_000, 1 << 24
 #: Of trusted texts one in HELD, by a hash of the text, is held out of the model; limits are quantiles over these.
 HELD = 5
 #: A document is rejected if its log perplexity exceeds its language's median by more than SPREAD times the distance
@@ -38,7 +38,7 @@ MIN_TRUSTED = 30
 
 
 class Chunk:
-    """Texts as one sequence of code points, each between starts and an end, and their n-grams order by order."""
+    """Texts as one sequence of code points, each between starts and an end."""
 
     def __init__(self, texts: list[str]):
         sizes = np.array([len(x) for x in texts], np.int64) + ORDER
@@ -48,33 +48,142 @@ class Chunk:
         self.points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
         self.points[self.points == 0] = NUL
 
-    def orders(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For orders from 1 on: the order, the distinct n-grams as rows of code points, and which of them starts at each place."""
-        distinct, ids = self._ranked(self.points.astype(np.int64), 0x110000)
-        chars, own = distinct, ids
-        grams = distinct.astype(np.uint32)[:, None]
-        yield 1, grams, ids
+
+class Numbers:
+    """Codes numbered from 1 on as they are added; 0 is the number of all others.
+
+    While codes are below CELLS, a table has the number of each. Beyond, a hash table of at least twice as many cells
+    as codes has them: a code lies in the first cell from its own on that was free.
+    """
+
+    def __init__(self):
+        self.n, self.codes, self.table = 1, np.zeros(64, np.int64), np.zeros(1, np.int32)  # codes by number, and room
+
+    def reach(self, bound: int) -> None:
+        """From now on codes are below bound."""
+        if self.table is not None and bound > len(self.table):
+            old, self.table = self.table, np.zeros(min(CELLS, 2 * bound), np.int32) if bound <= CELLS else None
+            if self.table is None:
+                self._lay()
+            else:
+                self.table[: len(old)] = old
+
+    def _lay(self) -> None:
+        bits = max(10, (2 * self.n).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.held, self.number = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        self._put(1)
+
+    def _cells(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def _put(self, first: int) -> None:
+        """Lays the codes from number first on into cells."""
+        codes, numbers = self.codes[first : self.n], np.arange(first, self.n, dtype=np.int32)
+        cells = self._cells(codes)
+        while len(codes):
+            free = self.held[cells] < 0
+            self.held[cells[free]] = codes[free]  # of several codes for a cell one stays
+            laid = self.held[cells] == codes
+            self.number[cells[laid]] = numbers[laid]
+            codes, numbers, cells = codes[~laid], numbers[~laid], (cells[~laid] + 1) & self.mask
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[codes]
+        cells = self._cells(codes)
+        held = self.held[cells]
+        same = held == codes
+        out = np.where(same, self.number[cells], np.int32(0))
+        left = np.flatnonzero(~same & (held >= 0))
+        cells = cells[left]
+        while len(left):
+            cells = (cells + 1) & self.mask
+            held = self.held[cells]
+            same = held == codes[left]
+            out[left[same]] = self.number[cells[same]]
+            on = ~same & (held >= 0)
+            left, cells = left[on], cells[on]
+        return out
+
+    def add(self, codes: np.ndarray, least: int) -> np.ndarray:
+        """As find(), and codes from least on that have no number get one."""
+        out = self.find(codes)
+        lacking = np.flatnonzero(out == 0)
+        lacking = lacking[codes[lacking] >= least]
+        if len(lacking):
+            new, which = np.unique(codes[lacking], return_inverse=True)
+            first, self.n = self.n, self.n + len(new)
+            if self.n > len(self.codes):
+                self.codes = np.concatenate([self.codes, np.zeros(self.n, np.int64)])
+            self.codes[first : self.n] = new
+            if self.table is not None:
+                self.table[new] = np.arange(first, self.n, dtype=np.int32)
+            elif 2 * self.n > self.mask + 1:
+                self._lay()
+            else:
+                self._put(first)
+            out[lacking] = first + which
+        return out
+
+
+class Grams:
+    """n-grams of each order by number: characters by their rank from 1 on, others coded by the number of all but their last character and that one's; 0 is for unknown ones."""
+
+    def __init__(self, seen: np.ndarray):
+        """seen: which code points occur, as flags."""
+        self.chars = np.concatenate([[0], np.flatnonzero(seen)]).astype(np.uint32)
+        self.rank = np.zeros(int(self.chars[-1]) + 2, np.int32)  # and 0 last, for larger ones
+        self.rank[self.chars[1:]] = np.arange(1, len(self.chars), dtype=np.int32)
+        self.bits = len(self.chars).bit_length()
+        self.levels = [Numbers() for _ in range(ORDER - 1)]
+
+    def sizes(self) -> list[int]:
+        return [len(self.chars), *(level.n for level in self.levels)]
+
+    def _chars(self, points: np.ndarray) -> np.ndarray:
+        return self.rank[np.minimum(points, len(self.rank) - 1)]
+
+    def _next(self, order: int, codes: np.ndarray, new: bool) -> np.ndarray:
+        level = self.levels[order - 2]
+        level.reach(self.sizes()[order - 2] << self.bits)
+        return level.add(codes, 1 << self.bits) if new else level.find(codes)
+
+    def add(self, grams: np.ndarray) -> np.ndarray:
+        """The numbers of n-grams of one order, rows of code points; those without get one, and so does what they begin with."""
+        chars = self._chars(grams)
+        at = chars[:, 0]
+        for order in range(2, grams.shape[1] + 1):
+            at = self._next(order, np.left_shift(at, self.bits, dtype=np.int64) | chars[:, order - 1], True)
+        return at
+
+    def walk(self, chunk: Chunk, new: bool) -> Iterator[tuple[int, np.ndarray]]:
+        """For orders from 1 on: the order, and the number of the n-gram from each place; 0 where it reaches into the next text or isn't known (new: it gets a number)."""
+        at = chars = self._chars(chunk.points)
+        yield 1, at
         for order in range(2, ORDER + 1):
-            code = ids[:-1].astype(np.int64) * len(chars) + own[order - 1 :]
-            distinct, ids = self._ranked(code, len(grams) * len(chars))
-            grams = np.concatenate([grams[distinct // len(chars)], chars[distinct % len(chars)].astype(np.uint32)[:, None]], axis=1)
-            yield order, grams, ids
-
-    @staticmethod
-    def _ranked(code: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct codes in order, and the rank of each code; a table of all cells serves where it is small enough."""
-        if cells > CELLS:
-            return np.unique(code, return_inverse=True)
-        seen = np.zeros(cells, bool)
-        seen[code] = True
-        distinct = np.flatnonzero(seen)
-        rank = np.zeros(cells, np.int32)
-        rank[distinct] = np.arange(len(distinct), dtype=np.int32)
-        return distinct, rank[code]
-
-    def inside(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places from and below which n-grams of each text start that end at its last start or later; whole ones of the highest order."""
-        return self.begins + max(0, ORDER - 1 - order), self.ends - order + 1
+            codes = np.left_shift(at[:-1], self.bits, dtype=np.int64)
+            codes |= chars[order - 1 :]
+            over = chunk.ends - order + 1  # what began later in a text is over already
+            codes[over[over < len(codes)]] = 0
+            at = self._next(order, codes, new)
+            yield order, at
+
+    def points(self) -> Iterator[np.ndarray]:
+        """The n-grams of each order from 1 on in order of their numbers, from 1 on, as rows of code points."""
+        before = self.chars[:, None]
+        yield before[1:]
+        for level in self.levels:
+            codes = level.codes[: level.n]
+            before = np.concatenate([before[codes >> self.bits], self.chars[codes & ((1 << self.bits) - 1)][:, None]], axis=1)
+            yield before[1:]
+
+
+def occurring(stretches: Iterator[np.ndarray]) -> np.ndarray:
+    seen = np.zeros(0x110000, bool)
+    for points in stretches:
+        seen[points] = True
+    return seen
 
 
 def chunks(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, list[str]]]:
@@ -85,7 +194,8 @@ def chunks(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, list[str]]]:
     at = 0
     while at < len(full):
         upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
-        yield full[at:upto], texts.take(pa.array(full[at:upto])).to_pylist()
+        first, last = full[at], full[upto - 1]
+        yield full[at:upto], [x for x in texts.slice(first, last + 1 - first).to_pylist() if x]  # take() would copy all texts
         at = upto
     pa.default_memory_pool().release_unused()  # a worker waits for its next task
 
@@ -98,32 +208,34 @@ def strings(grams: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(grams).view(f"<U{grams.shape[1]}").ravel(), pa.string())
 
 
+def code_points(grams: pa.Array, order: int) -> np.ndarray:
+    """Strings of order characters each as rows of code points."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams), "")[0].as_py() or ""
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, order)
+
+
 def count_slice(docs: pa.Table, places: pa.Table) -> pa.Table:
-    """(gram, n): n-grams of the highest order in the texts of these places."""
+    """(gram, n): n-grams of the highest order in the texts of these places, once each."""
     mask = np.isin(docs.column("__place").to_numpy(), places.column("__place").to_numpy()) if len(docs) else np.zeros(0, bool)
-    out = []
-    for _, part in chunks(docs.column("text").filter(pa.array(mask))):
-        chunk = Chunk(part)
-        *_, (order, grams, ids) = chunk.orders()
-        low, high = chunk.inside(order)
-        edge = np.zeros(len(ids) + 1, np.int8)
-        np.add.at(edge, low, 1)
-        np.add.at(edge, high, -1)
-        n = np.bincount(ids[np.cumsum(edge[:-1]) > 0], minlength=len(grams))
-        out.append(pa.table({"gram": strings(grams[n > 0]), "n": pa.array(n[n > 0], pa.int64())}))
-    return pa.concat_tables(out) if out else pa.table({"gram": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+    texts = docs.column("text").filter(pa.array(mask))
+    known, n = Grams(occurring(Chunk(part).points for _, part in chunks(texts))), np.zeros(1, np.int64)
+    for _, part in chunks(texts):
+        *_, (_, at) = known.walk(Chunk(part), True)
+        own = np.bincount(at, minlength=known.levels[-1].n)
+        own[: len(n)] += n
+        n = own
+    *_, grams = known.points()
+    return pa.table({"gram": strings(grams), "n": pa.array(n[1:], pa.int64())})
 
 
 def ask_slice(docs: pa.Table) -> pa.Table:
     """(gram, __slice): all n-grams of a slice, once each."""
-    found, distinct = [], 0
-    for _, part in chunks(docs.column("text")):
-        found += [strings(grams) for _, grams, _ in Chunk(part).orders()]
-        if sum(map(len, found)) > 2 * distinct + CHUNK:  # as many again as there were
-            found = [pc.unique(pa.chunked_array(found, pa.string()))]
-            distinct = len(found[0])
-    grams = pc.unique(pa.chunked_array(found, pa.string()))
-    grams = grams.filter(pc.invert(pc.match_substring_regex(grams, f"{chr(END)}.")))  # these span two texts
+    texts = docs.column("text")
+    known = Grams(occurring(Chunk(part).points for _, part in chunks(texts)))
+    for _, part in chunks(texts):
+        for _ in known.walk(Chunk(part), True):
+            pass
+    grams = pa.concat_arrays([strings(x) for x in known.points()])
     return pa.table({"gram": grams, "__slice": pa.array(np.full(len(grams), docs.column("__slice")[0].as_py() if len(docs) else 0), pa.int64())})
 
 
@@ -131,16 +243,23 @@ def score_slice(docs: pa.Table, values: pa.Table, unseen: float) -> pa.Table:
     """The rows of a slice without their texts, with n_chars and log_ppl, the mean negative log probability of a character and the end (null: no text)."""
     gram, value = values.column("gram").combine_chunks(), values.column("value").to_numpy()
     size = pc.utf8_length(gram).to_numpy(zero_copy_only=False)
-    known = [(gram.filter(pa.array(size == o)), np.append(value[size == o], 0.0)) for o in range(1, ORDER + 1)]
+    given = [code_points(gram.filter(pa.array(size == order)), order) for order in range(1, ORDER + 1)]
+    known = Grams(occurring(iter(given)))
+    own = [known.add(grams) for grams in given]
+    by_number = [np.zeros(n) for n in known.sizes()]  # 0.0 for what has no value, and first, for unknown ones
+    for order, numbers in enumerate(own, 1):
+        by_number[order - 1][numbers] = value[size == order]
     sums = np.zeros(len(docs))
     for at, part in chunks(docs.column("text")):
         chunk = Chunk(part)
-        for order, grams, ids in chunk.orders():
-            keys, numbers = known[order - 1]
-            which = pc.index_in(strings(grams), value_set=keys).fill_null(len(keys)).to_numpy(zero_copy_only=False)
-            total = np.concatenate([[0.0], np.cumsum(numbers[which][ids])])
-            low, high = chunk.inside(order)
-            sums[at] += total[high] - total[low]
+        total = np.zeros(len(chunk.points) + 1)
+        for order, numbers in known.walk(chunk, False):
+            found = by_number[order - 1][numbers]
+            for early in range(ORDER - 1 - order):  # these end before the last start
+                found[chunk.begins + early] = 0.0
+            total[1 : len(found) + 1] += found
+        np.cumsum(total, out=total)
+        sums[at] += total[chunk.ends] - total[chunk.begins]
     n_chars = lengths(docs.column("text"))
     log_ppl = np.where(n_chars > 0, -sums / (n_chars + 1) - unseen, np.nan)
     out = docs.drop_columns(["text"])
