@@ -11,7 +11,6 @@ import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quern.llm.common import BROADCAST_ROWS, arrow_map, arrow_map_all, durable, slices
+from quern.llm.common import BROADCAST_ROWS, arrow_map, arrow_map_all, durable, kept, slices
 
 #: Tokens of a sequence, and the id that ends each document.
 MAX_LEN, END = 4096, 1
@@ -109,7 +108,7 @@ class WordIds(dict):
             at += len(own)
 
 
-@cache
+@kept
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
 

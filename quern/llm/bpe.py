@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quern.llm.common import arrow_map, slices
+from quern.llm.common import arrow_map, kept, slices
 
 #: Pieces up to so many bytes are merged directly; longer ones are halved.
 LEAF = 16
@@ -98,7 +97,7 @@ class Encoder(dict):
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-@cache
+@kept
 def encoder(path: str, pattern: str = public_tokenizers.PATTERN) -> Encoder:
     return Encoder(path, pattern)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,6 +24,23 @@ SEPARATORS = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 500_000
 
 _shipped: set[str] = set()
+_kept: list[Callable] = []
+
+
+def kept(make: Callable) -> Callable:
+    """make, whose results a Python worker keeps from task to task until let_go()."""
+    _kept.append(cache(make))
+    return _kept[-1]
+
+
+def let_go() -> None:
+    """For tasks that hold much themselves: gives back what tasks of other operators have kept in this worker, which stages share."""
+    if any(make.cache_info().currsize for make in _kept):
+        for make in _kept:
+            make.cache_clear()
+        gc.collect()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

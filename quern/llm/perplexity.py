@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quern.llm.common import bucketed, durable, join_small, ship
+from quern.llm.common import bucketed, durable, join_small, let_go, ship
 
 #: Characters of the longest n-grams; what stands before each text (ORDER - 1 times) and after it; a NUL in a text counts as the third.
 ORDER, START, END, NUL = 5, 2, 3, 1
@@ -188,6 +188,7 @@ def occurring(stretches: Iterator[np.ndarray]) -> np.ndarray:
 
 def chunks(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Texts with a character in stretches of about CHUNK characters, with their places; only a stretch at a time is in Python's strings."""
+    let_go()
     sizes = lengths(texts)
     full = np.flatnonzero(sizes)
     ends = np.cumsum(sizes[full] + ORDER)
@@ -318,6 +319,7 @@ def slices_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, whole:
 
 def cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """A task's rows with the number of their slice, which is no other task's, and their place in it; a slice is full once it holds size characters."""
+    let_go()
     task, number, place, held = TaskContext.get().partitionId() << 32, 0, 0, 0
     for batch in batches:
         slices, places = [], []
