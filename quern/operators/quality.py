@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.hashing import sampled
-from quern.functions.jsons import type_name
+from quern.functions.jsons import kind_name, kind_of
 
 
 def judged(records: DataFrame, first: DataFrame, second: DataFrame, rate: float, production: bool) -> DataFrame:
@@ -43,10 +43,10 @@ def usage(counts: Column) -> Column:
 
 def argument_signature(arguments: Column) -> Column:
     """Sorted names and JSON types of a call's arguments, as text; null for what is no object."""
-    fields = F.map_entries(F.from_json(arguments, "map<string,string>"))
     quoted = F.from_json(arguments, "map<string,variant>")
-    kinds = F.transform(F.map_entries(quoted), lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(type_name(F.to_json(e["value"])), F.lit("null"))))
-    return F.when(fields.isNotNull(), F.array_join(F.array_sort(kinds), ","))
+    entries = F.transform(F.map_entries(quoted), lambda e: F.struct(e["key"].alias("key"), kind_of(F.to_json(e["value"])).alias("kind")))  # so each value is parsed once
+    kinds = F.transform(entries, lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(kind_name(e["kind"]), F.lit("null"))))
+    return F.array_join(F.array_sort(kinds), ",")
 
 
 #: What a cheaper model has to reach before it may go first.

@@ -62,7 +62,7 @@ def run_benchmark(gold: DataFrame, predictions: DataFrame, registry: DataFrame,
         raise ValueError("BENCHMARK_REFUSED: predictions for unknown ids")
 
     def facts(df: DataFrame) -> DataFrame:
-        each = df.select("id", F.posexplode("calls").alias("i", "c")).select("id", "i", F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
+        each = df.select("id", F.posexplode_outer("calls").alias("i", "c")).where("i IS NOT NULL").select("id", "i", F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
         return each.select("*", F.concat_ws("|", "name", argument_signature(F.col("arguments"))).alias("shape"), F.concat_ws("|", "name", canonical_json("arguments")).alias("whole"))
 
     lists = lambda prefix: F.array_sort(F.collect_list(F.struct("i", "name", "shape", "whole"))).alias(prefix)  # noqa: E731  bounded by a row's calls

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quern.operators.quality import argument_signature
 from quern.functions import hashing, jsons, text, vectors
 from quern.operators import duplicates, numbering, reporting, series, state
 
@@ -138,3 +139,11 @@ def test_texts_are_changed_in_stretches(monkeypatch):
     assert got.to_pylist() == [x and x.upper() for x in texts] and most < 1_000_000
     assert text.in_stretches(pa.array([], pa.string()), str.upper).to_pylist() == []
     assert text.in_stretches(pa.array(["a" * 30_000, None]), str.upper).to_pylist() == ["A" * 30_000, None]
+
+
+def test_argument_signatures_read_their_json_once(spark):
+    odd = [None, "", "{}", "[]", "1", '{"a":1', '{"b":[1],"a":{"x":[]},"c":null}', '[{"a":1}]', '{"a":1.5,"b":true,"c":"s"}', '{"a":tru}']
+    out = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "i int, a string").select("i", argument_signature(F.col("a")).alias("s"))
+    assert [r.s for r in out.orderBy("i").collect()] == [None, None, "", None, None, None, "a:object,b:array,c:null", None, "a:number,b:boolean,c:string", None]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
