@@ -7,14 +7,16 @@ from its length and its rank among the pieces of that length.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,88 +26,142 @@ from quern.llm.common import BROADCAST_ROWS, arrow_map, arrow_map_all, durable,
 
 #: Tokens of a sequence, and the id that ends each document.
 MAX_LEN, END = 4096, 1
-#: Words whose ids a worker keeps; it changes no result.
-REMEMBERED = 1_500_000
+#: Forms of words whose ids a worker keeps, and about the bytes of these forms; they change no result.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64 << 20
+#: Bytes of texts that are encoded at once.
+SLICE = 8 << 20
 #: Bits of a rank in keys of (length, rank).
 _RANK_BITS = 44
 #: A run: `items` pieces of one length from rank `first` on, `each` to a sequence from `sequence` on, starting at `offset`.
 RUN = np.dtype([("length", "i8"), ("first", "i8"), ("items", "i8"), ("each", "i8"), ("sequence", "i8"), ("offset", "i8")])
 
 
-class WordIds(dict):
-    """Maps a word's bytes to its ids as little-endian 32-bit integers; of() gives the ids of whole texts.
+def strung(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of flat that begin at starts, sizes long, one after the other; shorter than 2^31 in all."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    at = np.repeat(starts - (ends - sizes), sizes)
+    at += np.arange(len(at), dtype=np.int32)
+    return flat[at]
 
-    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words. It also folds
-    case, and parts letters and digits from signs, so ASCII words are learnt in lower case, and all without a stop after
-    a letter or digit. What is new is encoded in one text: a word of ASCII letters ends with the first id that ends a word,
-    others with a sign between words that none of them holds.
+
+def joined(words: pa.Array) -> str:
+    """Strings, none of them null, with a line break after each."""
+    lines = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.view(pa.binary()))
+    return (pc.binary_join(lines, b"\n")[0].as_py() + b"\n" * (len(words) > 0)).decode("utf-8", "replace")
+
+
+class WordIds:
+    """The ids of whole texts, from those of their words' forms.
+
+    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words, and a batch
+    encodes each distinct word once. It also folds case and parts letters, digits and signs, so a plain word (ASCII,
+    letters of Latin-1 and common signs, which it only folds and parts) is its forms' ids; any other word is one form.
+    Forms lie in one Arrow array and their ids in another, so that what a worker keeps of a million takes a few dozen MB.
     """
 
-    SIGN, STOPS = "\x00", b".,;:!?"
+    SIGN = "\x00"
+    #: What a plain word doesn't hold, the forms of plain words in lower case, and what stands for another word among them.
+    OTHER = re.compile("[^\x00-\x7f¡«»¿À-ÖØ-öø-ÿ‐-‧€]")
+    FORMS = re.compile("\ue000|\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+")
+    HELD = "\ue000"
+    #: Bytes that the model reads as characters from 256 on (others as Latin-1), but for the line break, which parts forms.
+    HIDDEN = re.compile("[\x00-\t\x0b-\x20\x7f-\xa0\xad]")
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer.no_truncation()
-        (sign,) = self._ids(self.SIGN)
-        vocabulary = self.tokenizer.get_vocab()
-        self.sign, self.last = np.zeros((2, max(vocabulary.values()) + 1), bool)
-        self.sign[sign] = True
-        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.stops = {s: np.array(self._ids(chr(s)), "<u4").tobytes() for s in self.STOPS}
+        self.model = self.tokenizer.model
+        (self.sign,) = self._ids(self.SIGN)
+        self.byte = {chr(b): chr(256 + k) for k, b in enumerate([*range(33), *range(127, 161), 173])}
+        self.clear()
+
+    def clear(self) -> None:
+        self.forms = pa.array(["\n"])  # the end of a word, without ids
+        self.starts, self.sizes, self.flat = np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, "<u4")
+
+    def __len__(self) -> int:
+        return len(self.forms)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def keep(self, words: list[bytes], text: str, ends: np.ndarray, signs: int) -> None:
-        """Keeps the ids of words from a text that holds them in order; each word's ids go up to one that ends says, less as many signs."""
-        ids = np.array(self._ids(text), "<u4")
-        raw, start = ids.tobytes(), 0
-        for w, end in zip(words, (4 * (np.flatnonzero(ends[ids]) + 1)).tolist(), strict=True):
-            self[w] = raw[start : end - 4 * signs]
-            start = end
-
-    def learn(self, words: set[bytes]) -> None:
-        stops, plain, derived, cores = self.STOPS, [], [], []
-        for w in words:
-            core = w[:-1] if w[-1] in stops and w[-2:-1].isalnum() else w
-            core = core.lower() if core.isascii() else core
-            if core == w:
-                plain.append(w)
-            else:
-                derived.append(w)
-                cores.append(core)
-        new = [*plain, *set(cores).difference(self, plain)]
-        letters = [w for w in new if w.isalpha()]
-        for at in range(0, len(letters), 2000):
-            self.keep(letters[at : at + 2000], b" ".join(letters[at : at + 2000]).decode(), self.last, 0)
-        rest = [w for w in new if not w.isalpha()]
+    def plain_ids(self, forms: list[str]) -> Iterator[list[int]]:
+        """The ids of forms of plain words, by the model alone."""
+        if forms:
+            read = self.HIDDEN.sub(lambda x: self.byte[x[0]], "\n".join(forms).encode().decode("latin-1"))
+            for form in read.split("\n"):
+                yield [token.id for token in self.model.tokenize(form)]
+
+    def other_ids(self, words: list[str]) -> list[list[int]]:
+        """The ids of other words: up to 2,000 at once in one text, with a sign between words that none of them holds."""
+        out = {w: self._ids(w) for w in words if self.SIGN in w}
+        rest = [w for w in words if self.SIGN not in w]
         for at in range(0, len(rest), 2000):
-            part = [w for w in rest[at : at + 2000] if b"\x00" not in w]
-            self.keep(part, f" {self.SIGN} ".join([w.decode("utf-8", "replace") for w in [*part, b""]]), self.sign, 1)
-            for w in rest[at : at + 2000]:
-                if b"\x00" in w:
-                    self[w] = np.array(self._ids(w.decode("utf-8", "replace")), "<u4").tobytes()
-        for w, core in zip(derived, cores):
-            self[w] = self[core] if len(core) == len(w) else self[core] + self.stops[w[-1]]
+            part = rest[at : at + 2000]
+            ids, start = self._ids(f" {self.SIGN} ".join([*part, ""])), 0
+            for w, end in zip(part, [i for i, x in enumerate(ids) if x == self.sign], strict=True):
+                out[w] = ids[start:end]
+                start = end + 1
+        return [out[w] for w in words]
+
+    def learn(self, forms: pa.Array) -> None:
+        """Adds forms that aren't known."""
+        new = joined(forms).split("\n")[:-1]
+        other = [x for x in new if self.OTHER.search(x)]
+        apart = dict(zip(other, self.other_ids(other), strict=True))
+        plain = self.plain_ids([x for x in new if x not in apart] if apart else new)
+        ids, sizes = array("I"), array("i")
+        for x in new:
+            own = apart[x] if x in apart else next(plain)
+            ids.extend(own)
+            sizes.append(len(own))
+        ids, sizes = np.array(ids, "<u4"), np.array(sizes, np.int32)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes, dtype=np.int32) - sizes], dtype=np.int32)
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, ids])
+        self.forms = pa.concat_arrays([self.forms, forms])
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words one after the other, and how many each has."""
+        lines, other = joined(words), []
+        if self.OTHER.search(lines):
+            each = lines.split("\n")
+            other = [w for w in each if self.OTHER.search(w)]
+            held = set(other)
+            lines = "\n".join([self.HELD if w in held else w for w in each])
+        forms = self.FORMS.findall(lines.lower())
+        if other:
+            held = iter(other)
+            forms = [next(held) if x == self.HELD else x for x in forms]
+        coded = pa.array(forms, pa.string()).dictionary_encode()
+        if len(self) + len(coded.dictionary) > REMEMBERED or self.forms.nbytes > REMEMBERED_BYTES:
+            self.clear()
+        found = pc.index_in(coded.dictionary, value_set=self.forms)
+        places = found.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        if found.null_count:
+            new = places < 0
+            places[new] = np.arange(len(self), len(self) + found.null_count)
+            self.learn(coded.dictionary.filter(pa.array(new)))
+        at = places[coded.indices.to_numpy()]
+        sizes = self.sizes[at]
+        total = np.cumsum(sizes)[at == 0]
+        return strung(self.flat, self.starts[at], sizes), np.diff(total, prepend=0).astype(np.int32)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts (UTF-8 in Arrow; null: empty), one after the other, and how many each has."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        flat, own = self.words(coded.dictionary)
+        at = coded.indices.to_numpy()
+        sizes = own[at]
+        before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        return strung(flat, (np.cumsum(own, dtype=np.int32) - own)[at], sizes), np.diff(before[split.offsets.to_numpy() - split.offsets[0].as_py()])
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [x.split() for x in texts]
-        words = list(chain.from_iterable(split))
-        ids = list(map(self.get, words))
-        if None in ids:
-            places = [i for i, x in enumerate(ids) if x is None]
-            new = {words[i] for i in places}
-            if len(self) + len(new) > REMEMBERED:
-                self.clear()
-            self.learn(new)
-            for i in places:
-                ids[i] = self[words[i]]
-        at = 0
-        for own in split:
-            yield b"".join(ids[at : at + len(own)])
-            at += len(own)
+        ids, sizes = self.encode(pa.array(texts, pa.binary()).view(pa.string()))
+        for own in np.split(ids, np.cumsum(sizes)[:-1]) if texts else []:
+            yield own.tobytes()
 
 
 @kept
@@ -115,23 +171,36 @@ def word_ids(path: str) -> WordIds:
 
 def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, max_len: int, keep_ids: bool, end: int = END) -> DataFrame:
     """One row a piece: doc_id, piece, start, length, ids_crc32, own, its rank in its length and task (part), and its ids if they are kept."""
-    last = np.array([end], "<u4").tobytes()
+    most = max(1, (16 << 20) // max_len)  # pieces of an Arrow batch
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known, seen, part_id = word_ids(path), Counter(), TaskContext.get().partitionId()
         for batch in batches:
-            for part in slices(batch, 4 << 20):
-                texts = [x or b"" for x in part.column(1).cast(pa.binary()).to_pylist()]
-                rows: list[tuple] = []
-                for i, ids in enumerate(known.of(texts)):
-                    ids += last
-                    for k, at in enumerate(range(0, len(ids), 4 * max_len)):
-                        one = ids[at : at + 4 * max_len]
-                        n = len(one) // 4
-                        rows.append((i, k, at // 4, n, one, seen[n]))
-                        seen[n] += 1
-                at, k, start, length, ids, own = zip(*rows, strict=True)
-                yield {"doc_id": part.column(0).take(pa.array(at)), "piece": k, "start": start, "length": length, "ids_crc32": list(map(zlib.crc32, ids)), "part": [part_id] * len(rows), "own": own, "ids": ids}
+            for part in slices(batch, SLICE):
+                ids, sizes = known.encode(part.column(1).cast(pa.binary()).view(pa.string()))
+                ends = np.cumsum(sizes + 1)
+                whole = np.full(len(ids) + len(sizes), end, "<u4")
+                inside = np.ones(len(whole), bool)
+                inside[ends - 1] = False
+                whole[inside] = ids
+                del ids, inside
+                cuts = -(-(sizes + 1) // max_len)  # pieces of each document
+                at = np.repeat(np.arange(len(cuts)), cuts)
+                k = np.arange(len(at)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+                start = k * max_len
+                length = np.minimum(sizes[at] + 1 - start, max_len)
+                places = np.concatenate([[0], np.cumsum(length)])
+                for first in range(0, len(at), most):
+                    one = slice(first, first + most)
+                    n, lo = length[one], places[first]
+                    raw, offsets = pa.py_buffer(whole[lo : lo + n.sum()]), (4 * (places[first : first + len(n) + 1] - lo)).astype(np.int32)
+                    own = []
+                    for x in n.tolist():
+                        own.append(seen[x])
+                        seen[x] += 1
+                    pieces = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), raw])
+                    crc = [zlib.crc32(memoryview(raw)[i:j]) for i, j in zip(offsets.tolist(), offsets[1:].tolist())]
+                    yield {"doc_id": part.column(0).take(pa.array(at[one])), "piece": k[one], "start": start[one], "length": n, "ids_crc32": crc, "part": [part_id] * len(n), "own": own, "ids": pieces}
 
     kind = docs.schema[id_col].dataType.simpleString()
     return arrow_map_all(docs.select(id_col, text_col), steps, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, own long" + ", ids binary" * keep_ids)

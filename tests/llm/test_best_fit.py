@@ -1,10 +1,13 @@
 """Dominance packing: plans against every packing, pieces against the tokenizer's own ids."""
 
+import gc
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -135,5 +138,44 @@ def test_words_are_encoded_alike_in_any_company():
         assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("remembered", [1_000_000, 5])
+def test_ids_of_all_characters_and_broken_text(monkeypatch, remembered):
+    monkeypatch.setattr(best_fit, "REMEMBERED", remembered)
+    rng = random.Random(6)
+    known, own = best_fit.WordIds(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    own.encode_special_tokens = True
+    signs = [*map(chr, range(0x180)), *map(chr, range(0x2000, 0x2030)), "€", "Σ", "K", "\ue000", "\ufffd", "é", "日本"]
+    texts = ["".join(rng.choice(signs + [" ", "'ll", "a", "É"] * 20) for _ in range(rng.randrange(40))) for _ in range(300)] + [f"{x}A{x} É{x}{x}'S{x}" for x in signs]
+    for _ in range(2):
+        for at in range(0, len(texts), 100):
+            part = texts[at : at + 100]
+            for text, ids in zip(part, known.of([x.encode() for x in part]), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, repr(text)
+    (ids,) = known.of([b"ab\xff\xc3 c\xe2\x82"])
+    assert np.frombuffer(ids, "<u4").tolist() == own.encode("ab\ufffd\ufffd c\ufffd", add_special_tokens=False).ids
+    assert list(known.of([])) == [] and list(known.of([b"", b" \n"])) == [b"", b""]
+
+
+def test_words_share_what_is_kept_of_their_forms():
+    known = best_fit.WordIds(WORD_BPE)
+    words = [f"{case(x)}{sign}" for x in ("été", "los", "über", "señor") for case in (str, str.upper, str.title) for sign in ("", ".", "!!", "&&&", "***", ",---", "$$$")]
+    list(known.of([" ".join(words).encode()]))
+    assert len(known) < 15 < len(set(words))
+
+
+def test_kept_words_take_few_bytes():
+    rng = random.Random(7)
+    words = list({"".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(40_000)})
+    known = best_fit.WordIds(WORD_BPE)
+    list(known.of([b"warm up"]))
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+    list(known.of([" ".join(words).encode()]))
+    gc.collect()
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert kept < 80 * len(words)
+
+
 def test_empty_table(empty):
     assert best_fit.pack(empty, WORD_BPE).count() == 0
