@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quern.llm.common import BROADCAST_ROWS, arrow_map, arrow_map_all, durable, kept, slices
+from quern.llm.common import BROADCAST_ROWS, arrow_map, arrow_map_all, durable, give_back, kept, let_go, slices
 
 #: Tokens of a sequence, and the id that ends each document.
 MAX_LEN, END = 4096, 1
@@ -174,6 +174,7 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, max_len: int,
     most = max(1, (16 << 20) // max_len)  # pieces of an Arrow batch
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        let_go(word_ids)
         known, seen, part_id = word_ids(path), Counter(), TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, SLICE):
@@ -201,6 +202,8 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, max_len: int,
                     pieces = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), raw])
                     crc = [zlib.crc32(memoryview(raw)[i:j]) for i, j in zip(offsets.tolist(), offsets[1:].tolist())]
                     yield {"doc_id": part.column(0).take(pa.array(at[one])), "piece": k[one], "start": start[one], "length": n, "ids_crc32": crc, "part": [part_id] * len(n), "own": own, "ids": pieces}
+        whole = raw = pieces = part = batch = None
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return arrow_map_all(docs.select(id_col, text_col), steps, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, own long" + ", ids binary" * keep_ids)

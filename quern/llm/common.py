@@ -33,14 +33,21 @@ def kept(make: Callable) -> Callable:
     return _kept[-1]
 
 
-def let_go() -> None:
+def let_go(but: Callable | None = None) -> None:
     """For tasks that hold much themselves: gives back what tasks of other operators have kept in this worker, which stages share."""
-    if any(make.cache_info().currsize for make in _kept):
-        for make in _kept:
-            make.cache_clear()
+    held = [make for make in _kept if make is not but and make.cache_info().currsize]
+    for make in held:
+        make.cache_clear()
+    if held:
         gc.collect()
-        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-            libc.malloc_trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Gives memory that isn't in use any more back to the system, as a worker waits for its next task while other stages run."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -144,7 +144,7 @@ def hot_shingles(docs: DataFrame, k: int, id_col: str, text_col: str) -> np.ndar
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
-    return np.unique(windows(word_hashes.of(words_of(text, fold=True)), k))
+    return np.unique(windows(word_hashes().of(words_of(text, fold=True)), k))
 
 
 def sketches(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:

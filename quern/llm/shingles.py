@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from quern.llm.common import kept
+
 #: Words whose hashes a worker keeps; it changes no result.
 REMEMBERED = 500_000
 
@@ -24,7 +26,9 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-word_hashes = WordHashes()
+@kept
+def word_hashes() -> WordHashes:
+    return WordHashes()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -44,7 +44,7 @@ def all_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, one text after the other, and how many each has."""
     lists = [words_of(x, fold=False) for x in texts]
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return word_hashes.of(list(chain.from_iterable(lists))), sizes
+    return word_hashes().of(list(chain.from_iterable(lists))), sizes
 
 
 def leftmost_least(x: np.ndarray, width: int) -> np.ndarray:
