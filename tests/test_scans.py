@@ -7,12 +7,14 @@ import random
 import re
 import unicodedata
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import hashing, jsons, text
 from quern.operators import duplicates, scanning, similarity
+from quern.plans import catalog, scans  # noqa: F401  scans adds its queries to the catalogue
 from quern.sources import tables
 
 
@@ -183,3 +185,28 @@ def test_counters_are_the_same_whatever_is_sent(spark, monkeypatch, sent, cells)
     monkeypatch.setattr(scanning, "SENT", sent)
     monkeypatch.setattr(scanning, "CELLS", cells)
     test_the_scan_equals_all_pairs(spark, 1)
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_vector_pairs_hold_copies_and_exact_thresholds(spark, block):
+    rng = random.Random(3)
+    base = [([rng.gauss(0, 1) for _ in range(5)]) for _ in range(9)]
+    rows = [(k, rng.choice(base)) for k in range(40)] + [(40, [2 * x for x in base[0]]), (40, base[1]), (41, base[2]), (41, base[2]), (None, base[0]), (42, None), (43, [0.0] * 5)]
+    rows += [(50, [1.0, 0.0, 0.0, 0.0, 0.0]), (51, [7.0, 18.0, 5.0, 1.0, 1.0]), (52, [3e200, 0.0, 0.0, 0.0, 0.0]), (53, [7.0, 18.0, 5.0, 1.0, 1.001])]
+    cosine = lambda x, y: sum(a * b for a, b in zip(x, y, strict=True)) / (sum(a * a for a in x) * sum(b * b for b in y)) ** 0.5
+    own = [(i, [x / max(map(abs, v)) for x in v] if max(map(abs, v)) > 1e99 else v) for i, v in rows if i is not None and v and any(v)]
+    expected = sorted((i, j, round(cosine(u, v), 9)) for i, u in own for j, v in own if i < j and cosine(u, v) >= 0.35)
+    got = similarity.vector_pairs(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 0.35, block=block)
+    assert sorted((r.a, r.b, round(r.similarity, 9)) for r in got.collect()) == expected
+    assert {(50, 51), (51, 52)} <= {(a, b) for a, b, _ in expected} and not {(50, 53), (52, 53)} & {(a, b) for a, b, _ in expected}
+
+
+def test_the_query_of_vector_links_equals_its_sql_where_vectors_repeat(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(30, 8)).astype(np.float32)
+    spark.createDataFrame([(k, x[k % 30].tolist()) for k in range(90)], "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    expected = duck.sql(catalog.ORACLE["vector_links"]).fetchall()
+    got = [(r.a, r.b, r.similarity) for r in catalog.QUERIES["vector_links"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(expected) and {(k, k + 30) for k in range(60)} <= {(a, b) for a, b, _ in got}
